@@ -52,7 +52,9 @@ def rank_intervals(
             Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ),
     )
-    sizes = ranged.groupBy("_pid", *keys).agg(F.sum("_w").alias("_size"))
+    # Sizes come from the same windowed frame (its last running sum), so both
+    # branches share one exchange and the planner reuses it.
+    sizes = local.groupBy("_pid", *keys).agg(F.max("_cum").alias("_size"))
     offsets = sizes.select(
         "_pid",
         *keys,

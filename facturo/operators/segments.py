@@ -34,10 +34,13 @@ def customer_tiers(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
     """One row per known customer: id, spend (double) and tier label."""
     spend = customer_spend(valid, key=key)
     cuts = order_statistics(spend, "_spend", TIER_PROBS, ["_c1", "_c2"])
+    # One scalar subquery (a struct of both cuts), bound once as a column.
     cut = cuts.select(F.struct("_c1", "_c2")).scalar()
-    c1, c2 = cut.getField("_c1"), cut.getField("_c2")
+    c1, c2 = F.col("_cut._c1"), F.col("_cut._c2")
     tier = F.when(F.col("_spend") <= c1, TIER_LOW).when(F.col("_spend") <= c2, TIER_MID).otherwise(TIER_HIGH)
-    return spend.select(F.col(key), as_money_double("_spend").alias(TOTAL_PRICE), tier.alias(TIER))
+    return spend.withColumn("_cut", cut).select(
+        F.col(key), as_money_double("_spend").alias(TOTAL_PRICE), tier.alias(TIER)
+    )
 
 
 def tier_rank(c: str = TIER):

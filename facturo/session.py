@@ -16,11 +16,20 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Settings every session of ours wants; the cluster may override any of them.
+#
+# Broadcast policy: the static threshold judges a side by its compressed file
+# size, an estimate that can be far below the real in-memory size, so it is
+# off. AQE still turns a join into a broadcast join when the *measured*
+# shuffle output of one side is under the adaptive threshold. Explicit
+# ``broadcast()`` hints are kept for inputs whose size is bounded by
+# construction (one row per partition, a fixed 25-row dimension).
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.ui.enabled": "false",
 }
 
