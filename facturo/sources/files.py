@@ -31,7 +31,15 @@ def scan_csv_typed(spark: SparkSession, path: str, schema: StructType = RAW_SCHE
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """Header line, doubled-quote escaping, text kept byte for byte (no trimming)."""
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
