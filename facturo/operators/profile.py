@@ -95,13 +95,31 @@ def duplicate_rows(raw: DataFrame, n: int | None = 10) -> DataFrame:
     order = [F.col(c).asc_nulls_last() for c in cols]
     groups = _row_groups(raw).filter(F.col("_n") > 1)
     if n is not None:
-        groups = groups.orderBy(*order).limit(n)
-        copies = F.least(F.col("_n"), F.lit(n))
-    else:
-        copies = F.col("_n")
-    members = groups.select(*cols, F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy"))
-    members = members.orderBy(*order)
-    return (members.limit(n) if n is not None else members).select(*cols)
+        top = groups.orderBy(*order).limit(n)
+        members = top.select(*cols, F.explode(F.sequence(F.lit(1), F.least("_n", F.lit(n)).cast("int"))))
+        return members.orderBy(*order).limit(n).select(*cols)
+    return expand_counts(groups, "_n").orderBy(*order).select(*cols)
+
+
+EXPAND_CHUNK = 10_000
+
+
+def expand_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Repeat each row ``count`` times, without one task writing a huge group.
+
+    Each row first becomes ceil(count / chunk) chunk rows, which a round-robin
+    repartition spreads over all tasks; each chunk then yields at most
+    ``chunk`` copies.
+    """
+    cols = [c for c in df.columns if c != count]
+    chunks = df.select(
+        *cols,
+        F.col(count).cast("long").alias("_n"),
+        F.explode(F.sequence(F.lit(0).cast("long"), ((F.col(count) - 1) / chunk).cast("long"))).alias("_chunk"),
+    )
+    sized = chunks.select(*cols, F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * chunk).alias("_k"))
+    spread = sized.repartition(sized.sparkSession.sparkContext.defaultParallelism)
+    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_copy")).drop("_copy")
 
 
 def profile_cardinality(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:

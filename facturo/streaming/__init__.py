@@ -1,0 +1,12 @@
+"""Streaming: intentionally empty.
+
+The workload this library re-implements is batch only; processing files in
+batch is a stated design decision there, and it has no watermark, windowed
+aggregation, state or late-data handling to rebuild. No streaming operator is
+claimed or provided.
+
+The row-level operators (``clean_rows``, ``derive_columns``, ``valid_rows``
+and the projections in :mod:`facturo.functions`) contain no action and no
+global state, so they also apply unchanged to a ``readStream`` DataFrame;
+exact deduplication and the rankings need a batch (or stateful) plan.
+"""

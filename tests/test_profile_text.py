@@ -112,3 +112,13 @@ def test_pairs_and_secondary_sort(make_raw):
     assert out == sorted(out)
     assert out[:3] == [(2, 7), (5, -1), (5, 3)]
     assert len(out) == 203
+
+
+def test_expand_counts_splits_hot_groups(spark):
+    from facturo.operators.profile import expand_counts
+
+    df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 10)], "k string, n long")
+    out = expand_counts(df, "n", chunk=4)
+    got = {r["k"]: r["c"] for r in out.groupBy("k").agg({"*": "count"}).withColumnRenamed("count(1)", "c").collect()}
+    assert got == {"a": 25, "b": 1, "c": 10}
+    assert out.rdd.getNumPartitions() > 1
