@@ -34,6 +34,7 @@ from facturo.operators.profile import (
     profile_invalid,
     profile_nulls,
     profile_numeric,
+    profile_numeric_all,
     profile_schema,
     profile_text,
     raw_top_customers,

@@ -162,6 +162,12 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFram
     )
 
 
+def profile_numeric_all(raw: DataFrame) -> DataFrame:
+    """Numeric half of a describe over every numeric column of the table."""
+    numeric = [f.name for f in raw.schema.fields if f.dataType.typeName() in ("integer", "long", "double", "decimal", "float", "short")]
+    return profile_numeric(raw, numeric)
+
+
 def profile_text(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count, unique, most frequent value and its frequency per text column.
 

@@ -109,6 +109,7 @@ def queries() -> dict[str, Query]:
         "duplicate_rows": _on("raw", profile.duplicate_rows),
         "profile_cardinality": _on("raw", profile.profile_cardinality),
         "profile_numeric": _on("raw", profile.profile_numeric),
+        "profile_numeric_all": _on("raw", profile.profile_numeric_all),
         "profile_text": _on("raw", profile.profile_text),
         "profile_cancelled": _on("raw", profile.profile_cancelled),
         "profile_invalid": _on("raw", profile.profile_invalid),
@@ -356,6 +357,7 @@ FROM (SELECT len, sum(c) OVER (ORDER BY len) AS cum, sum(c) OVER () AS total
         for c in card_cols
     )
     sql["profile_numeric"] = _numeric_profile_sql("raw", ["Quantity", "Price"])
+    sql["profile_numeric_all"] = _numeric_profile_sql("raw", ["Quantity", "Price", "Customer ID"])
     sql["profile_cancelled"] = _numeric_profile_sql(
         "(SELECT * FROM raw WHERE starts_with(CAST(\"Invoice\" AS VARCHAR), 'C'))", ["Quantity"]
     )

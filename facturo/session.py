@@ -34,16 +34,38 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MB, min_partitions: int = 8) -> dict[str, str]:
+    """Scan split and shuffle partition counts for an input of ``input_bytes``.
+
+    Scans cut files into ``partition_bytes`` splits; the initial shuffle
+    partition count gives about ``partition_bytes`` of (compressed) input per
+    reducer, and AQE coalesces small ones afterwards and splits skewed ones.
+    At 100 TB and 256 MB this is ~400,000 partitions before coalescing.
+    """
+    shuffle = max(min_partitions, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "facturo",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes:
+        conf.update(sizing_conf(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -97,3 +97,28 @@ def test_tiers_use_one_cut_subquery(spark, make_raw):
     valid = build_stages(make_raw(rows)).valid
     plan = _formatted(segments.customer_tiers(valid))
     assert len(re.findall(r"^Subquery:\d+ Hosting", plan, flags=re.M)) == 1
+
+
+def test_zones_and_text_extracts(spark):
+    from facturo.operators import text
+    from facturo.sources.zones import Zones, text_jobs_from_inputs, write_results, write_text_inputs
+
+    raw = invoice_lines(spark, SF_SMALL)
+    zones = Zones(scratch_path(spark, "zones"))
+    write_text_inputs(raw, zones)
+    jobs = text_jobs_from_inputs(spark, zones)
+    direct = text.word_mean(text.description_lines(raw)).collect()
+    assert jobs["word_mean"].collect() == direct
+    paths = write_results({"word_length_hist": jobs["word_length_hist"]}, zones)
+    back = sorted(tuple(r) for r in spark.read.parquet(paths["word_length_hist"]).collect())
+    assert back == sorted(tuple(r) for r in text.word_length_hist(text.description_lines(raw)).collect())
+    pairs = sorted(tuple(r) for r in jobs["customer_quantity_sorted"].collect())
+    assert pairs == sorted(tuple(r) for r in text.customer_quantity_pairs(raw).collect())
+
+
+def test_sizing_conf():
+    from facturo.session import sizing_conf
+
+    conf = sizing_conf(100 * (1 << 40))
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * (1 << 40) // (256 << 20))
+    assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "8"
