@@ -26,6 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _MAX_DENOMINATOR = 10**6
+# Upper bound on range partitions: the offsets table has at most this many
+# rows (per group), whatever ``spark.sql.shuffle.partitions`` is set to.
+MAX_RANGES = 8192
 
 
 def _fraction(p: float | Fraction) -> Fraction:
@@ -40,7 +43,7 @@ def rank_intervals(
 ) -> DataFrame:
     """(group?, value, _start, _end, _n): rank interval of each distinct non-null value."""
     spark = df.sparkSession
-    parts = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = num_ranges or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     keys = [group] if group else []
     freq = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
     ranged = freq.repartitionByRange(parts, *[F.col(k) for k in keys], F.col(value)).withColumn(
@@ -66,9 +69,11 @@ def rank_intervals(
         ).alias("_off"),
         F.sum("_size").over(Window.partitionBy(*keys)).alias("_n"),
     )
-    # ``offsets`` has one row per (range partition, group) that holds data:
-    # bounded by partitions x groups, not by the rows, so broadcasting is safe.
-    located = local.join(F.broadcast(offsets), ["_pid", *keys])
+    # ``offsets`` has one row per (range partition, group) holding data. Without
+    # a group that is at most ``parts`` rows, a proven bound, so it is
+    # broadcast. With a group it is at most parts + groups rows; the group count
+    # is the caller's, so AQE decides from the measured size instead.
+    located = local.join(offsets if keys else F.broadcast(offsets), ["_pid", *keys])
     return located.select(
         *keys,
         F.col(value),
