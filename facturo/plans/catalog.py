@@ -12,18 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from facturo.operators import metrics, prepare, profile, segments, text
-from facturo.plans.workload import stages_from_tables
+from facturo.plans.workload import build_stages
 from facturo.schema import RAW_COLUMNS
 from facturo.session import scratch_path
 from facturo.sources import files
-from facturo.sources.fixture import RAW_SQL
+from facturo.sources.fixture import RAW_SQL, invoice_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
+RawQuery = Callable[[SparkSession, DataFrame], DataFrame]
 
 
-def _on(stage: str, op) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return op(getattr(stages_from_tables(spark, sf_dir), stage))
+def _on(stage: str, op) -> RawQuery:
+    def run(spark: SparkSession, raw: DataFrame) -> DataFrame:
+        return op(getattr(build_stages(raw), stage))
 
     run.__name__ = getattr(op, "__name__", stage)
     return run
@@ -33,49 +34,60 @@ def _identity(df: DataFrame) -> DataFrame:
     return df
 
 
-def _scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stages_from_tables(spark, sf_dir).raw
+def _scan_csv_typed(spark: SparkSession, raw: DataFrame) -> DataFrame:
     path = scratch_path(spark, "raw-csv")
     files.write_csv(raw, path)
     return files.scan_csv_typed(spark, path)
 
 
-def _scan_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = text.customer_quantity_pairs(stages_from_tables(spark, sf_dir).raw)
+def _scan_pairs(spark: SparkSession, raw: DataFrame) -> DataFrame:
     path = scratch_path(spark, "pairs")
-    files.write_pairs(pairs, path)
+    files.write_pairs(text.customer_quantity_pairs(raw), path)
     return files.scan_pairs(spark, path)
 
 
-def _result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    derived = stages_from_tables(spark, sf_dir).derived
+def _result_roundtrip(spark: SparkSession, raw: DataFrame) -> DataFrame:
     path = scratch_path(spark, "derived-by-month")
-    files.write_parquet(derived, path, partition_by=["Year", "Month"])
+    files.write_parquet(build_stages(raw).derived, path, partition_by=["Year", "Month"])
     return spark.read.parquet(path)
 
 
-def _description_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.description_lines(stages_from_tables(spark, sf_dir).raw)
+def _description_lines(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    return text.description_lines(raw)
 
 
-def _text_job(op) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return op(text.description_lines(stages_from_tables(spark, sf_dir).raw))
+def _text_job(op) -> RawQuery:
+    def run(spark: SparkSession, raw: DataFrame) -> DataFrame:
+        return op(text.description_lines(raw))
 
     run.__name__ = op.__name__
     return run
 
 
-def _combine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = stages_from_tables(spark, sf_dir)
+def _combine(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    s = build_stages(raw)
     return metrics.country_revenue_and_cancellations(s.valid, s.derived)
 
 
-def _sorted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.customer_quantity_sorted(text.customer_quantity_pairs(stages_from_tables(spark, sf_dir).raw))
+def _sorted_pairs(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    return text.customer_quantity_sorted(text.customer_quantity_pairs(raw))
 
 
 def queries() -> dict[str, Query]:
+    """Registered queries over the driver tables in ``sf_dir``."""
+
+    def over_tables(fn: RawQuery) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(spark, invoice_lines(spark, sf_dir))
+
+        run.__name__ = fn.__name__
+        return run
+
+    return {name: over_tables(fn) for name, fn in raw_queries().items()}
+
+
+def raw_queries() -> dict[str, RawQuery]:
+    """The same queries over any invoice-line DataFrame."""
     return {
         # sources and sinks
         "scan_csv_typed": _scan_csv_typed,
@@ -158,8 +170,8 @@ word_rows AS (SELECT word FROM word_list WHERE word <> '')
 """
 
 
-def _with(body: str) -> str:
-    return f"WITH {RAW_SQL},{_STAGES_SQL}\n{body}"
+def _with(body: str, raw_ctes: str) -> str:
+    return f"WITH {raw_ctes},{_STAGES_SQL}\n{body}"
 
 
 def _q(name: str) -> str:
@@ -196,7 +208,8 @@ FROM {source}"""
     return "\nUNION ALL\n".join(parts)
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql(raw_ctes: str = RAW_SQL) -> dict[str, str]:
+    """DuckDB SQL per query; ``raw_ctes`` defines the ``raw`` CTE (default: the fixture mapping)."""
     top10 = "LIMIT 10"
     text_cols = ["Invoice", "StockCode", "Description", "InvoiceDate", "Country"]
     card_cols = ["Country", "Invoice", "Customer ID", "StockCode"]
@@ -373,4 +386,4 @@ WHERE rn = 1"""
     sql["profile_text"] = (
         'SELECT "column", "count", "unique", top, freq FROM (\n' + sql["profile_text"] + "\n) pt"
     )
-    return {name: _with(body) for name, body in sql.items()}
+    return {name: _with(body, raw_ctes) for name, body in sql.items()}
