@@ -35,6 +35,14 @@ def _collect(df):
     return df.collect()
 
 
+def _conf() -> dict[str, str]:
+    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:  # stage and task times for later reading, no UI
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
+    return conf
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -42,7 +50,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         app_name="facturo-bench",
         shuffle_partitions=max(2 * cpus, 8),
-        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        extra_conf=_conf(),
     )
     spark.sparkContext.setLogLevel("ERROR")
 
