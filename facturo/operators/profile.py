@@ -122,12 +122,19 @@ def expand_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataF
     return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_copy")).drop("_copy")
 
 
-def profile_cardinality(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Distinct non-null values per column, from one scan (long form)."""
+def profile_cardinality(raw: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
+    """Distinct non-null values per column, from one scan (long form).
+
+    Exact by default (distinct (column, value) pairs, then a count). With
+    ``approx=True`` each column gets a HyperLogLog++ sketch instead: one pass,
+    no shuffle of the values, about 1 % relative error.
+    """
     columns = columns or [COUNTRY, INVOICE, CUSTOMER_ID, STOCK_CODE]
     long = raw.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(StringType()).alias("value")) for c in columns]))
     )
+    if approx:
+        return long.groupBy("column").agg(F.approx_count_distinct("value", 0.01).cast("long").alias("distinct"))
     return (
         long.filter(F.col("value").isNotNull())
         .distinct()

@@ -23,6 +23,7 @@ from facturo.schema import CUSTOMER_ID, TOTAL_PRICE
 TIER_LOW, TIER_MID, TIER_HIGH = "Bajo", "Medio", "Alto"
 TIER = "Tier"
 TIER_PROBS = [1 / 3, 2 / 3]
+APPROX_ACCURACY = 10_000
 
 
 def customer_spend(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
@@ -30,10 +31,20 @@ def customer_spend(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
     return valid.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(TOTAL_PRICE).alias("_spend"))
 
 
-def customer_tiers(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
-    """One row per known customer: id, spend (double) and tier label."""
+def customer_tiers(valid: DataFrame, *, key: str = CUSTOMER_ID, approx: bool = False) -> DataFrame:
+    """One row per known customer: id, spend (double) and tier label.
+
+    ``approx=True`` takes the cuts from ``percentile_approx`` (one pass, fixed
+    memory per task, rank error about 1/10000 of the customers) instead of
+    the exact order statistics.
+    """
     spend = customer_spend(valid, key=key)
-    cuts = order_statistics(spend, "_spend", TIER_PROBS, ["_c1", "_c2"])
+    if approx:
+        cuts = spend.agg(
+            F.percentile_approx("_spend", TIER_PROBS, APPROX_ACCURACY).alias("_q")
+        ).select(F.col("_q")[0].alias("_c1"), F.col("_q")[1].alias("_c2"))
+    else:
+        cuts = order_statistics(spend, "_spend", TIER_PROBS, ["_c1", "_c2"])
     # One scalar subquery (a struct of both cuts), bound once as a column.
     cut = cuts.select(F.struct("_c1", "_c2")).scalar()
     c1, c2 = F.col("_cut._c1"), F.col("_cut._c2")
@@ -47,7 +58,7 @@ def tier_rank(c: str = TIER):
     return F.when(F.col(c) == TIER_LOW, 0).when(F.col(c) == TIER_MID, 1).otherwise(2)
 
 
-def tier_counts(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
+def tier_counts(valid: DataFrame, *, key: str = CUSTOMER_ID, approx: bool = False) -> DataFrame:
     """Customers per tier, ordered low, medium, high."""
-    tiers = customer_tiers(valid, key=key)
+    tiers = customer_tiers(valid, key=key, approx=approx)
     return tiers.groupBy(TIER).agg(F.count(F.lit(1)).alias("count")).orderBy(tier_rank())

@@ -122,3 +122,18 @@ def test_sizing_conf():
     conf = sizing_conf(100 * (1 << 40))
     assert conf["spark.sql.shuffle.partitions"] == str(100 * (1 << 40) // (256 << 20))
     assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_command_line_run_writes_every_result(spark):
+    from facturo.plans import run
+
+    raw = invoice_lines(spark, SF_SMALL)
+    csv_path = scratch_path(spark, "run-input")
+    files.write_csv(raw, csv_path)
+    out = scratch_path(spark, "run-output")
+    paths = run.main(["--input", csv_path, "--output", out])
+    assert len(paths) >= 30
+    counts = spark.read.parquet(paths["stage_counts"]).collect()[0].asDict()
+    assert counts == {"rows_raw": 6029, "rows_clean": 5956, "rows_dedup": 5925, "rows_valid": 5792}
+    top = spark.read.parquet(paths["q05_top_products_revenue"]).count()
+    assert top == 10

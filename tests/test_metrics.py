@@ -128,3 +128,11 @@ def test_tiers_with_equal_spend(make_raw):
     rows = [line(invoice=str(i), cust=float(i), price=5.0) for i in range(1, 10)]
     tiers = {r["Tier"] for r in segments.customer_tiers(_valid(make_raw(rows))).collect()}
     assert tiers == {"Bajo"}
+
+
+def test_tiers_approx_switch_agrees_on_small_input(make_raw):
+    rows = [line(invoice=str(i), cust=float(i), price=float(i)) for i in range(1, 61)]
+    valid = _valid(make_raw(rows))
+    exact = {r["Customer ID"]: r["Tier"] for r in segments.customer_tiers(valid).collect()}
+    approx = {r["Customer ID"]: r["Tier"] for r in segments.customer_tiers(valid, approx=True).collect()}
+    assert sum(exact[k] != approx[k] for k in exact) <= 2

@@ -122,3 +122,9 @@ def test_expand_counts_splits_hot_groups(spark):
     got = {r["k"]: r["c"] for r in out.groupBy("k").agg({"*": "count"}).withColumnRenamed("count(1)", "c").collect()}
     assert got == {"a": 25, "b": 1, "c": 10}
     assert out.rdd.getNumPartitions() > 1
+
+
+def test_cardinality_approx_switch(make_raw):
+    rows = [line(invoice=str(i), cust=float(i % 50)) for i in range(500)]
+    got = {r["column"]: r["distinct"] for r in profile.profile_cardinality(make_raw(rows), approx=True).collect()}
+    assert abs(got["Invoice"] - 500) <= 15 and abs(got["Customer ID"] - 50) <= 2 and got["Country"] == 1
