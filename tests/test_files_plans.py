@@ -137,3 +137,36 @@ def test_command_line_run_writes_every_result(spark):
     assert counts == {"rows_raw": 6029, "rows_clean": 5956, "rows_dedup": 5925, "rows_valid": 5792}
     top = spark.read.parquet(paths["q05_top_products_revenue"]).count()
     assert top == 10
+
+
+_PASS_THROUGH = {"Project", "Filter", "Sort", "WholeStageCodegen", "InputAdapter", "ColumnarToRow"}
+_BOUNDED = {"HashAggregate", "ObjectHashAggregate", "SortAggregate", "TakeOrderedAndProject", "GlobalLimit", "LocalLimit"}
+
+
+def _single_partition_inputs(node, found):
+    if node.nodeName() == "Exchange" and node.outputPartitioning().toString() == "SinglePartition":
+        child = node.children().apply(0)
+        while child.nodeName() in _PASS_THROUGH or child.nodeName().startswith("WholeStageCodegen"):
+            child = child.children().apply(0)
+        found.append(child.nodeName())
+    children = node.children()
+    for i in range(children.size()):
+        _single_partition_inputs(children.apply(i), found)
+    return found
+
+
+def test_single_partition_exchanges_only_over_aggregates(spark):
+    from facturo.plans import catalog
+
+    raw = invoice_lines(spark, SF_SMALL)
+    skip = {"scan_csv_typed", "scan_pairs", "result_roundtrip"}  # these write files when called
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, fn in catalog.raw_queries().items():
+            if name in skip:
+                continue
+            plan = fn(spark, raw)._jdf.queryExecution().executedPlan()
+            inputs = _single_partition_inputs(plan, [])
+            assert set(inputs) <= _BOUNDED, (name, inputs)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
