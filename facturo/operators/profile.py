@@ -118,7 +118,7 @@ def expand_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataF
         F.explode(F.sequence(F.lit(0).cast("long"), ((F.col(count) - 1) / chunk).cast("long"))).alias("_chunk"),
     )
     sized = chunks.select(*cols, F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * chunk).alias("_k"))
-    spread = sized.repartition(sized.sparkSession.sparkContext.defaultParallelism)
+    spread = sized.repartition(int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_copy")).drop("_copy")
 
 

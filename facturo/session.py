@@ -82,8 +82,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="facturo-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    try:  # classic sessions: also the folder of DataFrame.checkpoint()
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        pass
     return current
 
 
