@@ -95,8 +95,8 @@ def stage_counts(raw: DataFrame, *, invoice: str = INVOICE, quantity: str = QUAN
     is_clean = clean_predicate(price=price)
     is_valid = is_clean & (F.col(quantity) > 0) & ~is_cancelled(invoice)
     return groups.agg(
-        F.sum("_n").cast("long").alias("rows_raw"),
-        F.sum(F.when(is_clean, F.col("_n")).otherwise(F.lit(0))).cast("long").alias("rows_clean"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows_raw"),
+        F.coalesce(F.sum(F.when(is_clean, F.col("_n")).otherwise(F.lit(0))), F.lit(0)).cast("long").alias("rows_clean"),
         F.count_if(is_clean).cast("long").alias("rows_dedup"),
         F.count_if(is_valid).cast("long").alias("rows_valid"),
     )

@@ -78,8 +78,10 @@ def _row_groups(raw: DataFrame) -> DataFrame:
 def profile_duplicates(raw: DataFrame) -> DataFrame:
     """Surplus copies (all but the first of each group) and rows in duplicate groups."""
     return _row_groups(raw).agg(
-        F.sum(F.col("_n") - 1).cast("long").alias("duplicates"),
-        F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).cast("long").alias("rows_in_duplicate_groups"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates"),
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)), F.lit(0))
+        .cast("long")
+        .alias("rows_in_duplicate_groups"),
         F.count_if(F.col("_n") > 1).cast("long").alias("duplicate_groups"),
     )
 

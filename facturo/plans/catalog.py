@@ -294,8 +294,8 @@ FULL OUTER JOIN (SELECT "Country", CAST(count(*) FILTER (WHERE "IsCancelled") AS
                  FROM derived GROUP BY "Country") b
 ON a."Country" IS NOT DISTINCT FROM b."Country" """,
         "profile_duplicates": f"""
-SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates,
-       CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS rows_in_duplicate_groups,
+SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates,
+       CAST(COALESCE(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) AS rows_in_duplicate_groups,
        CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_groups
 FROM (SELECT {_RAW_COLS_SQL}, count(*) AS n FROM raw GROUP BY ALL) g""",
         "duplicate_rows": f"""

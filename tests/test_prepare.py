@@ -71,8 +71,19 @@ def test_stage_counts_equal_separate_passes(make_raw):
 def test_empty_input_gives_empty_or_zero_results(make_raw):
     raw = make_raw([])
     assert prepare.prepared_stages(raw)["valid"].count() == 0
-    counts = prepare.stage_counts(raw).collect()[0]
-    assert counts["rows_raw"] is None or counts["rows_raw"] == 0
+    counts = prepare.stage_counts(raw).collect()[0].asDict()
+    assert counts == {"rows_raw": 0, "rows_clean": 0, "rows_dedup": 0, "rows_valid": 0}
+    from facturo.operators import metrics, profile, segments
+
+    valid = prepare.prepared_stages(raw)["valid"]
+    assert metrics.top_products_revenue(valid).count() == 0
+    assert segments.tier_counts(valid).count() == 0
+    assert metrics.monthly_revenue(valid).count() == 0
+    dups = profile.profile_duplicates(raw).collect()[0]
+    assert (dups["duplicates"], dups["rows_in_duplicate_groups"], dups["duplicate_groups"]) == (0, 0, 0)
+    assert profile.monthly_line_counts(raw).count() == 0
+    g = metrics.aov_global(valid).collect()[0]
+    assert g["Facturas"] == 0 and g["AOV"] is None
 
 
 def test_derived_sample_is_ordered(make_raw):
