@@ -49,7 +49,7 @@ def main() -> None:
     spark = build_session(
         master=f"local[{cpus}]",
         app_name="facturo-bench",
-        shuffle_partitions=max(2 * cpus, 8),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2 * cpus, 8))),
         extra_conf=_conf(),
     )
     spark.sparkContext.setLogLevel("ERROR")
