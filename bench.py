@@ -112,7 +112,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "retail_pipeline_wall_load_q1_q12",
+                "metric": "retail_workload_wall_load_q1_q12",
                 "value": headline,
                 "unit": "sec",
                 "queries": times,
