@@ -76,10 +76,22 @@ def build_session(
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only if unset."""
+    """Return the shared checkpoint folder named by the cluster.
+
+    Only a local-mode session (tests, a laptop) without the setting gets a
+    private temporary folder; on a cluster a machine-local folder would
+    scatter the data over executor disks, so the setting is required there.
+    """
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not _is_local(spark):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         current = tempfile.mkdtemp(prefix="facturo-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     try:  # classic sessions: also the folder of DataFrame.checkpoint()

@@ -170,3 +170,27 @@ def test_single_partition_exchanges_only_over_aggregates(spark):
             assert set(inputs) <= _BOUNDED, (name, inputs)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_checkpoint_dir_required_on_a_cluster():
+    import pytest as _pytest
+
+    from facturo.session import ensure_checkpoint_dir
+
+    class _Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class _Session:
+        def __init__(self, values):
+            self.conf = _Conf(values)
+
+    with _pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session({"spark.master": "yarn"}))
+    assert ensure_checkpoint_dir(_Session({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
