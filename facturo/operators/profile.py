@@ -148,8 +148,8 @@ def profile_cardinality(raw: DataFrame, columns: list[str] | None = None, approx
 def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per numeric column (long form).
 
-    Mean and std are rounded to 6 places. Quartiles are exact interpolated
-    quantiles (see :mod:`facturo.operators.quantiles`).
+    Mean, std and the quartiles are rounded to 6 places. Quartiles are exact
+    interpolated quantiles (see :mod:`facturo.operators.quantiles`).
     """
     columns = columns or [QUANTITY, PRICE]
     long = df.select(
@@ -165,9 +165,16 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFram
         F.max("value").alias("max"),
     )
     quartiles = exact_quantiles(long, "value", DESCRIBE_PROBS, DESCRIBE_NAMES, group="column")
-    # Both sides hold one row per profiled column.
+    # Both sides hold one row per profiled column. Quartiles are rounded like
+    # mean and std: the last bit of an interpolation differs between engines.
     return moments.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", *DESCRIBE_NAMES, "max"
+        "column",
+        "count",
+        "mean",
+        "std",
+        "min",
+        *[F.round(q, STAT_DECIMALS).alias(q) for q in DESCRIBE_NAMES],
+        "max",
     )
 
 

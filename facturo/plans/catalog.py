@@ -199,9 +199,9 @@ def _numeric_profile_sql(source: str, columns: list[str]) -> str:
        round(avg(CAST({_q(c)} AS DOUBLE)), 6) AS mean,
        round(stddev_samp(CAST({_q(c)} AS DOUBLE)), 6) AS std,
        CAST(min({_q(c)}) AS DOUBLE) AS "min",
-       quantile_cont(CAST({_q(c)} AS DOUBLE), 0.25) AS p25,
-       quantile_cont(CAST({_q(c)} AS DOUBLE), 0.5) AS p50,
-       quantile_cont(CAST({_q(c)} AS DOUBLE), 0.75) AS p75,
+       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.25), 6) AS p25,
+       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.5), 6) AS p50,
+       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.75), 6) AS p75,
        CAST(max({_q(c)}) AS DOUBLE) AS "max"
 FROM {source}"""
         )
