@@ -125,24 +125,20 @@ def expand_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataF
 
 
 def profile_cardinality(raw: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """Distinct non-null values per column, from one scan (long form).
+    """Distinct non-null values per column (long form, one row per column).
 
-    Exact by default (distinct (column, value) pairs, then a count). With
-    ``approx=True`` each column gets a HyperLogLog++ sketch instead: one pass,
-    no shuffle of the values, about 1 % relative error.
+    One global aggregate: Spark plans several exact distinct counts as one
+    expanded two-level aggregate keyed by (column, value), so a single scan
+    and shuffle serve all columns and a hot value is folded map-side. With
+    ``approx=True`` each column gets a HyperLogLog++ sketch instead: no
+    shuffle of values at all, about 1 % relative error.
     """
     columns = columns or [COUNTRY, INVOICE, CUSTOMER_ID, STOCK_CODE]
-    long = raw.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(StringType()).alias("value")) for c in columns]))
-    )
     if approx:
-        return long.groupBy("column").agg(F.approx_count_distinct("value", 0.01).cast("long").alias("distinct"))
-    return (
-        long.filter(F.col("value").isNotNull())
-        .distinct()
-        .groupBy("column")
-        .agg(F.count(F.lit(1)).cast("long").alias("distinct"))
-    )
+        aggs = [F.approx_count_distinct(F.col(c), 0.01).cast("long").alias(f"distinct__{c}") for c in columns]
+    else:
+        aggs = [F.countDistinct(F.col(c)).cast("long").alias(f"distinct__{c}") for c in columns]
+    return _unpivot(raw.agg(*aggs), columns, ["distinct"])
 
 
 def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -152,18 +148,24 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFram
     interpolated quantiles (see :mod:`facturo.operators.quantiles`).
     """
     columns = columns or [QUANTITY, PRICE]
+    # Moments: one global aggregate (always one row, even on empty input),
+    # unpivoted to one row per column.
+    aggs = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        aggs += [
+            F.count(v).cast("long").alias(f"count__{c}"),
+            F.round(F.avg(v), STAT_DECIMALS).alias(f"mean__{c}"),
+            F.round(F.stddev_samp(v), STAT_DECIMALS).alias(f"std__{c}"),
+            F.min(v).alias(f"min__{c}"),
+            F.max(v).alias(f"max__{c}"),
+        ]
+    moments = _unpivot(df.agg(*aggs), columns, ["count", "mean", "std", "min", "max"])
     long = df.select(
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
         )
     )
-    moments = long.groupBy("column").agg(
-        F.count("value").cast("long").alias("count"),
-        F.round(F.avg("value"), STAT_DECIMALS).alias("mean"),
-        F.round(F.stddev_samp("value"), STAT_DECIMALS).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
     quartiles = exact_quantiles(long, "value", DESCRIBE_PROBS, DESCRIBE_NAMES, group="column")
     # Both sides hold one row per profiled column. Quartiles are rounded like
     # mean and std: the last bit of an interpolation differs between engines.
@@ -187,18 +189,30 @@ def profile_numeric_all(raw: DataFrame) -> DataFrame:
 def profile_text(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count, unique, most frequent value and its frequency per text column.
 
-    Ties for the most frequent value go to the smallest value.
+    Ties for the most frequent value go to the smallest value. A column with
+    no value at all still gets its row (count 0, unique 0, no top value).
     """
     columns = columns or TEXT_COLUMNS
     long = raw.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(StringType()).alias("value")) for c in columns]))
     )
-    freq = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
-    return freq.groupBy("column").agg(
-        F.sum("_f").cast("long").alias("count"),
-        F.count(F.lit(1)).cast("long").alias("unique"),
-        F.min_by(F.col("value"), F.struct((-F.col("_f")).alias("f"), F.col("value").alias("v"))).alias("top"),
-        F.max("_f").cast("long").alias("freq"),
+    # Frequencies keep the null value, so an all-null column is still present.
+    freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
+    present = F.col("value").isNotNull()
+    summary = freq.groupBy("column").agg(
+        F.sum(F.when(present, F.col("_f")).otherwise(F.lit(0))).cast("long").alias("count"),
+        F.count("value").cast("long").alias("unique"),
+        F.min_by(F.col("value"), F.when(present, F.struct((-F.col("_f")).alias("f"), F.col("value").alias("v")))).alias("top"),
+        F.max(F.when(present, F.col("_f"))).cast("long").alias("freq"),
+    )
+    # The column list itself (names only) keeps a row per column on empty input.
+    names = raw.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(summary, "column", "left").select(
+        "column",
+        F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+        F.coalesce("unique", F.lit(0)).cast("long").alias("unique"),
+        "top",
+        "freq",
     )
 
 

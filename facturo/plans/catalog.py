@@ -375,15 +375,12 @@ FROM (SELECT len, sum(c) OVER (ORDER BY len) AS cum, sum(c) OVER () AS total
         "(SELECT * FROM raw WHERE starts_with(CAST(\"Invoice\" AS VARCHAR), 'C'))", ["Quantity"]
     )
     sql["profile_text"] = "\nUNION ALL\n".join(
-        f"""SELECT * FROM (
-  SELECT '{c}' AS "column", CAST(sum(f) OVER () AS BIGINT) AS "count", CAST(count(*) OVER () AS BIGINT) AS "unique",
-         v AS top, CAST(f AS BIGINT) AS freq,
-         row_number() OVER (ORDER BY f DESC, v ASC) AS rn
-  FROM (SELECT CAST({_q(c)} AS VARCHAR) AS v, count(*) AS f FROM raw WHERE {_q(c)} IS NOT NULL GROUP BY 1) x)
-WHERE rn = 1"""
+        f"""SELECT '{c}' AS "column", CAST(count(v) AS BIGINT) AS "count", CAST(count(DISTINCT v) AS BIGINT) AS "unique",
+       (SELECT CAST({_q(c)} AS VARCHAR) FROM raw WHERE {_q(c)} IS NOT NULL
+        GROUP BY 1 ORDER BY count(*) DESC, 1 ASC LIMIT 1) AS top,
+       (SELECT CAST(count(*) AS BIGINT) FROM raw WHERE {_q(c)} IS NOT NULL
+        GROUP BY CAST({_q(c)} AS VARCHAR) ORDER BY count(*) DESC LIMIT 1) AS freq
+FROM (SELECT CAST({_q(c)} AS VARCHAR) AS v FROM raw) x"""
         for c in text_cols
     )
-    sql["profile_text"] = (
-        'SELECT "column", "count", "unique", top, freq FROM (\n' + sql["profile_text"] + "\n) pt"
-    )
     return {name: _with(body, raw_ctes) for name, body in sql.items()}
