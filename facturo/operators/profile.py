@@ -167,9 +167,10 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFram
         )
     )
     quartiles = exact_quantiles(long, "value", DESCRIBE_PROBS, DESCRIBE_NAMES, group="column")
-    # Both sides hold one row per profiled column. Quartiles are rounded like
-    # mean and std: the last bit of an interpolation differs between engines.
-    return moments.join(quartiles, "column", "left").select(
+    # Both sides hold one row per profiled column (a proven bound, so the
+    # quartiles are broadcast). Quartiles are rounded like mean and std: the
+    # last bit of an interpolation differs between engines.
+    return moments.join(F.broadcast(quartiles), "column", "left").select(
         "column",
         "count",
         "mean",
@@ -196,23 +197,20 @@ def profile_text(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     long = raw.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(StringType()).alias("value")) for c in columns]))
     )
-    # Frequencies keep the null value, so an all-null column is still present.
-    freq = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
-    present = F.col("value").isNotNull()
-    summary = freq.groupBy("column").agg(
-        F.sum(F.when(present, F.col("_f")).otherwise(F.lit(0))).cast("long").alias("count"),
-        F.count("value").cast("long").alias("unique"),
-        F.min_by(F.col("value"), F.when(present, F.struct((-F.col("_f")).alias("f"), F.col("value").alias("v")))).alias("top"),
-        F.max(F.when(present, F.col("_f"))).cast("long").alias("freq"),
-    )
-    # The column list itself (names only) keeps a row per column on empty input.
-    names = raw.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return names.join(summary, "column", "left").select(
-        "column",
-        F.coalesce("count", F.lit(0)).cast("long").alias("count"),
-        F.coalesce("unique", F.lit(0)).cast("long").alias("unique"),
-        "top",
-        "freq",
+    freq = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
+    # One zero-weight row per column (names only) keeps every column present,
+    # even when it has no value at all or the table is empty; no join needed.
+    names = raw.sparkSession.createDataFrame([(c, None, 0) for c in columns], "column string, value string, _f long")
+    present = F.col("_f") > 0
+    return (
+        freq.unionByName(names)
+        .groupBy("column")
+        .agg(
+            F.sum("_f").cast("long").alias("count"),
+            F.count_if(present).cast("long").alias("unique"),
+            F.min_by(F.col("value"), F.when(present, F.struct((-F.col("_f")).alias("f"), F.col("value").alias("v")))).alias("top"),
+            F.max(F.when(present, F.col("_f"))).cast("long").alias("freq"),
+        )
     )
 
 
