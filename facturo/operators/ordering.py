@@ -25,17 +25,46 @@ def top_k(
     return ranked.select(*output) if output else ranked
 
 
-def secondary_sort(df: DataFrame, group: str, value: str) -> DataFrame:
+EXPAND_CHUNK = 10_000
+
+
+def chunk_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Split each row's ``count`` into chunks of at most ``chunk`` copies.
+
+    Output: the other columns, ``_chunk`` (0-based chunk number) and ``_k``
+    (copies in that chunk). A group of any size becomes many small rows that
+    the next shuffle can spread over tasks.
+    """
+    cols = [c for c in df.columns if c != count]
+    n = F.col(count).cast("long")
+    chunks = df.select(
+        *cols,
+        n.alias("_n"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long"))).alias("_chunk"),
+    )
+    return chunks.select(*cols, "_chunk", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * chunk).alias("_k"))
+
+
+def expand_chunks(df: DataFrame) -> DataFrame:
+    """Turn ``chunk_counts`` rows back into one row per copy, in place (order kept)."""
+    cols = [c for c in df.columns if c not in ("_chunk", "_k")]
+    return df.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_copy")).select(*cols)
+
+
+def secondary_sort(df: DataFrame, group: str, value: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Rows grouped by ``group`` with ``value`` ascending inside each group.
 
-    A global sort on (group, value, row id): range partitioning on the
-    composite key splits even a group that holds a third of all rows across
-    many tasks, and the written part files read back in order. The row id is
-    only a tie-breaker for identical pairs and is dropped.
+    Identical (group, value) pairs are indistinguishable, so the sorted output
+    is fixed by their counts: pairs are counted (partial aggregation folds a
+    hot pair map-side), big counts are cut into chunks, the distinct
+    (group, value, chunk) rows are globally sorted (range partitioning splits
+    even a group holding a third of all rows, chunk by chunk) and each chunk
+    is expanded in place. Deterministic, so a retried task after an executor
+    loss reproduces exactly the same rows; read back in order, the part files
+    are the sorted result.
     """
-    return (
-        df.select(group, value)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .orderBy(F.col(group).asc_nulls_last(), F.col(value).asc_nulls_last(), F.col("_row"))
-        .drop("_row")
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    ordered = chunk_counts(counts, "_n", chunk).orderBy(
+        F.col(group).asc_nulls_last(), F.col(value).asc_nulls_last(), F.col("_chunk")
     )
+    return expand_chunks(ordered)

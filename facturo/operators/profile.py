@@ -20,7 +20,7 @@ from facturo.functions import (
     parse_timestamp,
     rounded_percent,
 )
-from facturo.operators.ordering import top_k
+from facturo.operators.ordering import EXPAND_CHUNK, chunk_counts, expand_chunks, top_k
 from facturo.operators.quantiles import exact_quantiles
 from facturo.schema import (
     COUNTRY,
@@ -103,9 +103,6 @@ def duplicate_rows(raw: DataFrame, n: int | None = 10) -> DataFrame:
     return expand_counts(groups, "_n").orderBy(*order).select(*cols)
 
 
-EXPAND_CHUNK = 10_000
-
-
 def expand_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Repeat each row ``count`` times, without one task writing a huge group.
 
@@ -113,15 +110,8 @@ def expand_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataF
     repartition spreads over all tasks; each chunk then yields at most
     ``chunk`` copies.
     """
-    cols = [c for c in df.columns if c != count]
-    chunks = df.select(
-        *cols,
-        F.col(count).cast("long").alias("_n"),
-        F.explode(F.sequence(F.lit(0).cast("long"), ((F.col(count) - 1) / chunk).cast("long"))).alias("_chunk"),
-    )
-    sized = chunks.select(*cols, F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * chunk).alias("_k"))
-    spread = sized.repartition(int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_copy")).drop("_copy")
+    chunks = chunk_counts(df, count, chunk)
+    return expand_chunks(chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def profile_cardinality(raw: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:

@@ -128,3 +128,23 @@ def test_cardinality_approx_switch(make_raw):
     rows = [line(invoice=str(i), cust=float(i % 50)) for i in range(500)]
     got = {r["column"]: r["distinct"] for r in profile.profile_cardinality(make_raw(rows), approx=True).collect()}
     assert abs(got["Invoice"] - 500) <= 15 and abs(got["Customer ID"] - 50) <= 2 and got["Country"] == 1
+
+
+def test_secondary_sort_splits_a_hot_pair(spark):
+    from facturo.operators.ordering import secondary_sort
+
+    rows = [(1, 5)] * 2500 + [(1, 3)] * 7 + [(0, 9)] * 2 + [(2, -1)]
+    df = spark.createDataFrame(rows, "customer_id long, quantity int")
+    out = secondary_sort(df, "customer_id", "quantity", chunk=100)
+    got = [(r[0], r[1]) for r in out.collect()]
+    assert got == sorted(rows)
+    # Without AQE folding tiny partitions together, the hot pair's 25 chunks
+    # land in several range partitions.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        from pyspark.sql import functions as F
+
+        hot = out.withColumn("pid", F.spark_partition_id()).filter("customer_id = 1 AND quantity = 5")
+        assert hot.select("pid").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
