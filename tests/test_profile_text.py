@@ -148,3 +148,18 @@ def test_secondary_sort_splits_a_hot_pair(spark):
         assert hot.select("pid").distinct().count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_rounded_percent_is_exact_half_up(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from facturo.functions import rounded_percent
+
+    rnd = random.Random(5)
+    pairs = [(p, w) for w in [rnd.randint(1, 10**7) for _ in range(3000)] for p in [rnd.randint(0, w)]]
+    pairs += [(1, 8), (1, 3), (2, 3), (1, 200000), (0, 1), (5, 5)]
+    df = spark.createDataFrame(pairs, "part long, whole long")
+    got = [r[0] for r in df.select(rounded_percent("part", "whole")).collect()]
+    want = [float((Decimal(p) * 100 / Decimal(w)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for p, w in pairs]
+    assert got == want
