@@ -84,7 +84,8 @@ def prepared_stages(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def stage_counts(raw: DataFrame, *, invoice: str = INVOICE, quantity: str = QUANTITY, price: str = PRICE) -> DataFrame:
-    """Row counts of raw, clean, dedup and valid stages from one grouped pass.
+    """Row counts of raw, clean, dedup and valid stages (and rows removed by
+    cleaning and by deduplication) from one grouped pass.
 
     Dedup keys are whole rows, so clean and valid are constant inside a group:
     raw = sum(n), clean = sum(n) over clean groups, dedup = clean groups,
@@ -94,12 +95,18 @@ def stage_counts(raw: DataFrame, *, invoice: str = INVOICE, quantity: str = QUAN
     groups = raw.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     is_clean = clean_predicate(price=price)
     is_valid = is_clean & (F.col(quantity) > 0) & ~is_cancelled(invoice)
-    return groups.agg(
+    counts = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows_raw"),
         F.coalesce(F.sum(F.when(is_clean, F.col("_n")).otherwise(F.lit(0))), F.lit(0)).cast("long").alias("rows_clean"),
         F.count_if(is_clean).cast("long").alias("rows_dedup"),
         F.count_if(is_valid).cast("long").alias("rows_valid"),
     )
+    return counts.withColumns(
+        {
+            "removed_clean": F.col("rows_raw") - F.col("rows_clean"),
+            "removed_duplicates": F.col("rows_clean") - F.col("rows_dedup"),
+        }
+    )
 
 
 def derived_sample(derived: DataFrame, n: int = 5) -> DataFrame:

@@ -229,10 +229,12 @@ LIMIT 5""",
         "derived_rows": "SELECT * FROM derived",
         "valid_rows": "SELECT * FROM valid",
         "stage_counts": """
-SELECT (SELECT count(*) FROM raw) AS rows_raw,
-       (SELECT count(*) FROM clean) AS rows_clean,
-       (SELECT count(*) FROM dedup) AS rows_dedup,
-       (SELECT count(*) FROM valid) AS rows_valid""",
+SELECT rows_raw, rows_clean, rows_dedup, rows_valid,
+       rows_raw - rows_clean AS removed_clean, rows_clean - rows_dedup AS removed_duplicates
+FROM (SELECT (SELECT count(*) FROM raw) AS rows_raw,
+             (SELECT count(*) FROM clean) AS rows_clean,
+             (SELECT count(*) FROM dedup) AS rows_dedup,
+             (SELECT count(*) FROM valid) AS rows_valid) c""",
         "top_products_revenue": f"""
 SELECT "Description", CAST(sum("TotalPrice") AS DOUBLE) AS "TotalPrice" FROM valid
 GROUP BY "Description" ORDER BY sum("TotalPrice") DESC NULLS LAST, "Description" ASC NULLS LAST {top10}""",

@@ -67,7 +67,7 @@ def test_pairs_and_text_roundtrip(spark):
 def test_fixture_counts_at_smallest_scale(spark):
     raw = invoice_lines(spark, SF_SMALL)
     counts = prepare.stage_counts(raw).collect()[0].asDict()
-    assert counts == {"rows_raw": 6029, "rows_clean": 5956, "rows_dedup": 5925, "rows_valid": 5792}
+    assert counts == {"rows_raw": 6029, "rows_clean": 5956, "rows_dedup": 5925, "rows_valid": 5792, "removed_clean": 73, "removed_duplicates": 31}
 
 
 def test_valid_filter_reaches_parquet_scan(spark):
@@ -134,7 +134,7 @@ def test_command_line_run_writes_every_result(spark):
     paths = run.main(["--input", csv_path, "--output", out])
     assert len(paths) >= 30
     counts = spark.read.parquet(paths["stage_counts"]).collect()[0].asDict()
-    assert counts == {"rows_raw": 6029, "rows_clean": 5956, "rows_dedup": 5925, "rows_valid": 5792}
+    assert counts == {"rows_raw": 6029, "rows_clean": 5956, "rows_dedup": 5925, "rows_valid": 5792, "removed_clean": 73, "removed_duplicates": 31}
     top = spark.read.parquet(paths["q05_top_products_revenue"]).count()
     assert top == 10
 

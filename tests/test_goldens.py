@@ -20,7 +20,7 @@ def run(spark):
 
 
 def test_funnel(run):
-    assert run("stage_counts") == [{"rows_raw": 60282, "rows_clean": 59723, "rows_dedup": 59440, "rows_valid": 58098}]
+    assert run("stage_counts") == [{"rows_raw": 60282, "rows_clean": 59723, "rows_dedup": 59440, "rows_valid": 58098, "removed_clean": 559, "removed_duplicates": 283}]
 
 
 def test_profile_values(run):
