@@ -55,10 +55,15 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
 
     def timed(name, fn):
         t0 = time.perf_counter()
-        out = fn()
+        try:
+            out = fn()
+        except Exception as exc:  # noqa: BLE001 - report and keep the JSON line
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            out = None
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
@@ -88,7 +93,10 @@ def main() -> None:
 
     def timed_extra(name, fn):
         t0 = time.perf_counter()
-        fn()
+        try:
+            fn()
+        except Exception as exc:  # noqa: BLE001
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
         extra[name] = round(time.perf_counter() - t0, 3)
 
     timed_extra("stage_counts", lambda: _collect(prepare.stage_counts(raw)))
@@ -120,6 +128,7 @@ def main() -> None:
                 "extra_total": round(sum(extra.values()), 3),
                 "sf": sf,
                 "cpus": cpus,
+                "errors": errors,
             }
         )
     )
