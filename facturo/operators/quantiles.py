@@ -56,7 +56,10 @@ def rank_intervals(
         ),
     )
     # Sizes come from the same windowed frame (its last running sum), so both
-    # branches share one exchange and the planner reuses it.
+    # branches are one identical subtree: Spark's exchange reuse (on by default,
+    # also under AQE) runs the range exchange once, and both branches see the
+    # same range bounds and partition ids. A retried task reads the same
+    # shuffle output, so ranks stay consistent after an executor loss.
     sizes = local.groupBy("_pid", *keys).agg(F.max("_cum").alias("_size"))
     offsets = sizes.select(
         "_pid",

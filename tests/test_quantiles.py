@@ -54,3 +54,10 @@ def test_more_ranges_than_values(spark):
 
     rows = sorted((r["x"], r["_start"], r["_end"], r["_n"]) for r in rank_intervals(df, "x", num_ranges=16).collect())
     assert rows == [(1, 0, 1, 2), (5, 1, 2, 2)]
+
+
+def test_range_exchange_is_shared_by_both_branches(spark):
+    df = spark.createDataFrame([(float(v % 97),) for v in range(2000)], "x double")
+    out = order_statistics(df, "x", [0.5], ["m"])
+    assert out.collect()[0]["m"] == float(np.quantile([v % 97 for v in range(2000)], 0.5, method="lower"))
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
