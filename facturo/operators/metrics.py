@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 from facturo.functions import as_money_double, count_true, null_safe_ratio, percent_change, percent_of
 from facturo.operators.ordering import top_k
 from facturo.schema import (
+    AVG_ORDER_VALUE,
+    AVG_TICKET,
+    CANCEL_RATE,
+    CANCELLED_LINES,
+    CHANGE_PCT,
     COUNTRY,
     CUSTOMER_ID,
     DESCRIPTION,
     INVOICE,
+    INVOICE_COUNT,
     IS_CANCELLED,
+    LINES_TOTAL,
     MONTH,
     QUANTITY,
+    REVENUE,
     TOTAL_PRICE,
     YEAR,
 )
@@ -49,7 +57,7 @@ def country_revenue(valid: DataFrame, *, key: str = COUNTRY, n: int = 10) -> Dat
     """Q8: revenue, distinct invoices and average ticket per country, top by revenue."""
     per_key = valid.groupBy(key).agg(
         F.sum(TOTAL_PRICE).alias("_rev"),
-        F.countDistinct(INVOICE).cast("long").alias("Facturas"),
+        F.countDistinct(INVOICE).cast("long").alias(INVOICE_COUNT),
     )
     return top_k(
         per_key,
@@ -58,9 +66,9 @@ def country_revenue(valid: DataFrame, *, key: str = COUNTRY, n: int = 10) -> Dat
         n,
         [
             F.col(key),
-            as_money_double("_rev").alias("Revenue"),
-            F.col("Facturas"),
-            null_safe_ratio(as_money_double("_rev"), "Facturas").alias("TicketPromedio"),
+            as_money_double("_rev").alias(REVENUE),
+            F.col(INVOICE_COUNT),
+            null_safe_ratio(as_money_double("_rev"), INVOICE_COUNT).alias(AVG_TICKET),
         ],
     )
 
@@ -75,10 +83,10 @@ def monthly_revenue(valid: DataFrame) -> DataFrame:
     The unpartitioned window runs over the month aggregate only (one row per
     month), never over raw rows.
     """
-    monthly = valid.groupBy(YEAR, MONTH).agg(as_money_double(F.sum(TOTAL_PRICE)).alias("Revenue"))
+    monthly = valid.groupBy(YEAR, MONTH).agg(as_money_double(F.sum(TOTAL_PRICE)).alias(REVENUE))
     w = Window.orderBy(*_month_order())
     return monthly.select(
-        YEAR, MONTH, "Revenue", percent_change(F.col("Revenue"), F.lag("Revenue").over(w)).alias("VariacionPct")
+        YEAR, MONTH, REVENUE, percent_change(F.col(REVENUE), F.lag(REVENUE).over(w)).alias(CHANGE_PCT)
     ).orderBy(*_month_order())
 
 
@@ -93,21 +101,21 @@ def country_cancellation(
     per_key = (
         derived.groupBy(key)
         .agg(
-            F.count(INVOICE).cast("long").alias("Total"),
-            count_true(IS_CANCELLED).cast("long").alias("Canceladas"),
+            F.count(INVOICE).cast("long").alias(LINES_TOTAL),
+            count_true(IS_CANCELLED).cast("long").alias(CANCELLED_LINES),
         )
-        .filter(F.col("Total") >= min_lines)
-        .withColumn("TasaCancelacion", percent_of("Canceladas", "Total"))
+        .filter(F.col(LINES_TOTAL) >= min_lines)
+        .withColumn(CANCEL_RATE, percent_of(CANCELLED_LINES, LINES_TOTAL))
     )
-    return top_k(per_key, "TasaCancelacion", key, n, [key, "Total", "Canceladas", "TasaCancelacion"])
+    return top_k(per_key, CANCEL_RATE, key, n, [key, LINES_TOTAL, CANCELLED_LINES, CANCEL_RATE])
 
 
 def aov_global(valid: DataFrame) -> DataFrame:
     """Q12: average order value over all valid sales, as a one-row DataFrame."""
     return valid.agg(
-        as_money_double(F.sum(TOTAL_PRICE)).alias("Revenue"),
-        F.countDistinct(INVOICE).cast("long").alias("Facturas"),
-    ).select("Revenue", "Facturas", null_safe_ratio("Revenue", "Facturas").alias("AOV"))
+        as_money_double(F.sum(TOTAL_PRICE)).alias(REVENUE),
+        F.countDistinct(INVOICE).cast("long").alias(INVOICE_COUNT),
+    ).select(REVENUE, INVOICE_COUNT, null_safe_ratio(REVENUE, INVOICE_COUNT).alias(AVG_ORDER_VALUE))
 
 
 def aov_monthly(valid: DataFrame) -> DataFrame:
@@ -118,7 +126,7 @@ def aov_monthly(valid: DataFrame) -> DataFrame:
             as_money_double(F.sum(TOTAL_PRICE)).alias("_rev"),
             F.countDistinct(INVOICE).alias("_inv"),
         )
-        .select(YEAR, MONTH, null_safe_ratio("_rev", "_inv").alias("AOV"))
+        .select(YEAR, MONTH, null_safe_ratio("_rev", "_inv").alias(AVG_ORDER_VALUE))
         .orderBy(*_month_order())
     )
 
@@ -149,6 +157,6 @@ def combine_by_key(left: DataFrame, right: DataFrame, keys: list[str] | str) ->
 
 def country_revenue_and_cancellations(valid: DataFrame, derived: DataFrame) -> DataFrame:
     """Revenue of valid sales and cancelled lines per country, aligned by country."""
-    revenue = valid.groupBy(COUNTRY).agg(as_money_double(F.sum(TOTAL_PRICE)).alias("Revenue"))
-    cancelled = derived.groupBy(COUNTRY).agg(count_true(IS_CANCELLED).cast("long").alias("Canceladas"))
+    revenue = valid.groupBy(COUNTRY).agg(as_money_double(F.sum(TOTAL_PRICE)).alias(REVENUE))
+    cancelled = derived.groupBy(COUNTRY).agg(count_true(IS_CANCELLED).cast("long").alias(CANCELLED_LINES))
     return combine_by_key(revenue, cancelled, COUNTRY)

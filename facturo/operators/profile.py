@@ -30,6 +30,7 @@ from facturo.schema import (
     INVOICE_DATE,
     PRICE,
     QUANTITY,
+    REVENUE,
     STOCK_CODE,
     TEXT_COLUMNS,
 )
@@ -270,7 +271,7 @@ def raw_top_customers(raw: DataFrame, *, key: str = CUSTOMER_ID, n: int = 10) ->
         .groupBy(key)
         .agg(F.sum(line_total(QUANTITY, PRICE)).alias("_rev"))
     )
-    return top_k(sums, "_rev", key, n, [F.col(key), as_money_double("_rev").alias("Revenue")])
+    return top_k(sums, "_rev", key, n, [F.col(key), as_money_double("_rev").alias(REVENUE)])
 
 
 def gross_revenue(raw: DataFrame) -> DataFrame:

@@ -22,6 +22,16 @@ PRICE = "Price"
 CUSTOMER_ID = "Customer ID"
 COUNTRY = "Country"
 
+# Result column names of the original queries.
+REVENUE = "Revenue"
+INVOICE_COUNT = "Facturas"
+AVG_TICKET = "TicketPromedio"
+CHANGE_PCT = "VariacionPct"
+LINES_TOTAL = "Total"
+CANCELLED_LINES = "Canceladas"
+CANCEL_RATE = "TasaCancelacion"
+AVG_ORDER_VALUE = "AOV"
+
 # Derived columns added by the derive step.
 TOTAL_PRICE = "TotalPrice"
 IS_CANCELLED = "IsCancelled"
