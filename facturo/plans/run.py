@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from facturo.operators import metrics, prepare, profile, segments, text
 from facturo.plans.workload import build_stages, materialize_stages, twelve_queries
 from facturo.session import build_session
-from facturo.sources.files import scan_csv_typed
+from facturo.sources.files import scan_csv_typed, write_pairs
 from facturo.sources.zones import Zones, write_results
 
 # Results that have one row per input line; they are written, never printed.
@@ -79,7 +79,13 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     results = all_results(stages)
 
     if args.output:
-        return write_results(results, Zones(args.output))
+        zones = Zones(args.output)
+        paths = write_results(results, zones)
+        # The secondary-sort job's classic text form: "id<TAB>qty" lines in order.
+        sorted_txt = zones.output_path("customer_quantity_sorted_txt")
+        write_pairs(results["customer_quantity_sorted"], sorted_txt, sep="\t")
+        paths["customer_quantity_sorted_txt"] = sorted_txt
+        return paths
     for name, df in results.items():
         if name in ROW_LEVEL or name == "customer_tiers" or name == "customer_quantity_sorted":
             continue

@@ -52,13 +52,14 @@ def write_text_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).text(path)
 
 
-def scan_pairs(spark: SparkSession, path: str, schema: StructType = PAIRS_SCHEMA) -> DataFrame:
-    """Space-separated integer pairs (``id qty`` per line)."""
-    return spark.read.schema(schema).option("sep", " ").option("mode", "PERMISSIVE").csv(path)
+def scan_pairs(spark: SparkSession, path: str, schema: StructType = PAIRS_SCHEMA, sep: str = " ") -> DataFrame:
+    """Integer pairs, one per line (``id qty``; ``sep="\t"`` for the sorted job output)."""
+    return spark.read.schema(schema).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
 
 
-def write_pairs(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("sep", " ").csv(path)
+def write_pairs(df: DataFrame, path: str, mode: str = "overwrite", sep: str = " ") -> None:
+    """One pair per line; part files keep the order of an ordered ``df``."""
+    df.write.mode(mode).option("sep", sep).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import contextlib
+import glob
 import io
 import os
 import re
@@ -137,6 +138,11 @@ def test_command_line_run_writes_every_result(spark):
     assert counts == {"rows_raw": 6029, "rows_clean": 5956, "rows_dedup": 5925, "rows_valid": 5792, "removed_clean": 73, "removed_duplicates": 31}
     top = spark.read.parquet(paths["q05_top_products_revenue"]).count()
     assert top == 10
+    lines = []
+    for part in sorted(glob.glob(os.path.join(paths["customer_quantity_sorted_txt"], "part-*"))):
+        with open(part) as f:
+            lines += [tuple(int(x) for x in ln.rstrip("\n").split("\t")) for ln in f if ln.strip()]
+    assert lines == sorted(lines) and len(lines) == raw.filter("`Customer ID` IS NOT NULL AND Quantity IS NOT NULL").count()
 
 
 _PASS_THROUGH = {"Project", "Filter", "Sort", "WholeStageCodegen", "InputAdapter", "ColumnarToRow"}
