@@ -38,14 +38,23 @@ def _fraction(p: float | Fraction) -> Fraction:
     return f
 
 
+def value_counts(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
+    """(group?, value, _w): each distinct non-null value with its number of rows."""
+    keys = [group] if group else []
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
+
+
 def rank_intervals(
-    df: DataFrame, value: str, group: str | None = None, num_ranges: int | None = None
+    df: DataFrame, value: str, group: str | None = None, num_ranges: int | None = None, counted: bool = False
 ) -> DataFrame:
-    """(group?, value, _start, _end, _n): rank interval of each distinct non-null value."""
+    """(group?, value, _start, _end, _n): rank interval of each distinct non-null value.
+
+    ``counted=True`` means ``df`` already is a ``value_counts`` result.
+    """
     spark = df.sparkSession
     parts = num_ranges or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     keys = [group] if group else []
-    freq = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
+    freq = df if counted else value_counts(df, value, group)
     ranged = freq.repartitionByRange(parts, *[F.col(k) for k in keys], F.col(value)).withColumn(
         "_pid", F.spark_partition_id()
     )
@@ -110,14 +119,20 @@ def order_statistics(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: list[float], names: list[str], group: str | None = None
+    df: DataFrame,
+    value: str,
+    probs: list[float],
+    names: list[str],
+    group: str | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles (the ``(n - 1) * p`` rule) as double.
 
     Equal to ``percentile``, ``quantile_cont`` and pandas ``quantile``. One row
     per group, or one row in all (null on empty input) without a group.
+    ``counted=True`` means ``df`` already is a ``value_counts`` result.
     """
-    intervals = rank_intervals(df, value, group)
+    intervals = rank_intervals(df, value, group, counted=counted)
     aggs, finals = [], []
     for i, (p, name) in enumerate(zip(probs, names)):
         f = _fraction(p)
