@@ -41,6 +41,10 @@ NULL_CUST_MOD, NULL_CUST_BELOW = 9, 2               # o_custkey % 9 < 2 -> null
 DUP_LINE_NUMBER = 1                                 # l_linenumber = 1 and
 DUP_ORDER_MOD, DUP_ORDER_REM = 30, 0                # l_orderkey % 30 = 0 -> row appears twice
 
+# Driver tables the mapping reads.
+FIXTURE_TABLES = ("lineitem", "orders", "customer", "nation", "part")
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -200,3 +200,13 @@ def test_checkpoint_dir_required_on_a_cluster():
     with _pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Session({"spark.master": "yarn"}))
     assert ensure_checkpoint_dir(_Session({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
+
+
+def test_invoice_lines_built_once_per_session(spark):
+    from facturo.plans.catalog import invoice_lines_table
+
+    first = invoice_lines_table(spark, SF_SMALL)
+    second = invoice_lines_table(spark, SF_SMALL)
+    assert first.inputFiles() == second.inputFiles()
+    assert first.count() == 6029
+    assert first.exceptAll(invoice_lines(spark, SF_SMALL)).count() == 0
