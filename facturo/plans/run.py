@@ -62,6 +62,16 @@ def all_results(stages) -> dict[str, DataFrame]:
     return results
 
 
+def _local_size(path: str) -> int | None:
+    """Bytes under a local input path, to size partitions; None for remote URIs."""
+    local = path.removeprefix("file://")
+    if "://" in local or not os.path.exists(local):
+        return None
+    if os.path.isfile(local):
+        return os.path.getsize(local)
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local) for f in fs)
+
+
 def main(argv: list[str] | None = None) -> dict[str, str]:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--input", default=os.environ.get("DATA_PATH"), help="CSV file or directory (default: $DATA_PATH)")
@@ -72,7 +82,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     if not args.input:
         parser.error("--input or DATA_PATH is required")
 
-    spark = build_session(master=args.master, app_name="facturo-run")
+    spark = build_session(master=args.master, app_name="facturo-run", input_bytes=_local_size(args.input))
     stages = build_stages(scan_csv_typed(spark, args.input))
     if not args.no_materialize:
         stages = materialize_stages(spark, stages)
