@@ -42,7 +42,7 @@ from facturo.operators.profile import (
     time_range,
 )
 from facturo.operators.quantiles import exact_quantiles, order_statistics, rank_intervals
-from facturo.operators.segments import customer_spend, customer_tiers, tier_counts
+from facturo.operators.segments import customer_spend, customer_tiers, tier_counts, tier_cuts
 from facturo.operators.text import (
     customer_quantity_pairs,
     customer_quantity_sorted,

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facturo.functions import as_money_double
-from facturo.operators.quantiles import order_statistics
+from facturo.operators.quantiles import exact_quantiles, order_statistics
 from facturo.schema import CUSTOMER_ID, TOTAL_PRICE
 
 # Tier labels, from lowest to highest spend.
@@ -24,6 +24,7 @@ TIER_LOW, TIER_MID, TIER_HIGH = "Bajo", "Medio", "Alto"
 TIER = "Tier"
 TIER_PROBS = [1 / 3, 2 / 3]
 APPROX_ACCURACY = 10_000
+CUT_DECIMALS = 6
 
 
 def customer_spend(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
@@ -54,6 +55,19 @@ def customer_tiers(valid: DataFrame, *, key: str = CUSTOMER_ID, approx: bool = F
     )
 
 
+def tier_cuts(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
+    """The two interpolated tercile cuts of per-customer spend, one row.
+
+    Rounded to 6 places: the interpolation's last bit differs between engines.
+    Tier labels never depend on that rounding (see ``customer_tiers``).
+    """
+    spend = customer_spend(valid, key=key).select(as_money_double("_spend").alias("_spend"))
+    cuts = exact_quantiles(spend, "_spend", TIER_PROBS, ["_low", "_high"])
+    return cuts.select(
+        F.round("_low", CUT_DECIMALS).alias("cut_low"), F.round("_high", CUT_DECIMALS).alias("cut_high")
+    )
+
+
 def tier_rank(c: str = TIER):
     return F.when(F.col(c) == TIER_LOW, 0).when(F.col(c) == TIER_MID, 1).otherwise(2)
 

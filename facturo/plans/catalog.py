@@ -147,6 +147,7 @@ def raw_queries() -> dict[str, RawQuery]:
         "country_cancellation": _on("derived", metrics.country_cancellation),
         "customer_tiers": _on("valid", segments.customer_tiers),
         "tier_counts": _on("valid", segments.tier_counts),
+        "tier_cuts": _on("valid", segments.tier_cuts),
         "aov_global": _on("valid", metrics.aov_global),
         "aov_monthly": _on("valid", metrics.aov_monthly),
         "combine_by_key": _combine,
@@ -316,6 +317,10 @@ SELECT "Tier", CAST(count(*) AS BIGINT) AS "count" FROM (
        (SELECT quantile_cont(CAST(spend AS DOUBLE), 1.0/3) AS c1, quantile_cont(CAST(spend AS DOUBLE), 2.0/3) AS c2
         FROM (SELECT sum("TotalPrice") AS spend FROM valid WHERE "Customer ID" IS NOT NULL GROUP BY "Customer ID")) c) t
 GROUP BY "Tier" ORDER BY CASE "Tier" WHEN 'Bajo' THEN 0 WHEN 'Medio' THEN 1 ELSE 2 END""",
+        "tier_cuts": """
+SELECT round(quantile_cont(CAST(spend AS DOUBLE), 1.0/3), 6) AS cut_low,
+       round(quantile_cont(CAST(spend AS DOUBLE), 2.0/3), 6) AS cut_high
+FROM (SELECT sum("TotalPrice") AS spend FROM valid WHERE "Customer ID" IS NOT NULL GROUP BY "Customer ID") s""",
         "aov_global": """
 SELECT CAST(sum("TotalPrice") AS DOUBLE) AS "Revenue",
        CAST(count(DISTINCT "Invoice") AS BIGINT) AS "Facturas",

@@ -136,3 +136,10 @@ def test_tiers_approx_switch_agrees_on_small_input(make_raw):
     exact = {r["Customer ID"]: r["Tier"] for r in segments.customer_tiers(valid).collect()}
     approx = {r["Customer ID"]: r["Tier"] for r in segments.customer_tiers(valid, approx=True).collect()}
     assert sum(exact[k] != approx[k] for k in exact) <= 2
+
+
+def test_tier_cuts_interpolate(make_raw):
+    rows = [line(invoice=str(i), cust=float(i), price=float(i)) for i in range(1, 7)]
+    cut = segments.tier_cuts(_valid(make_raw(rows))).collect()[0]
+    # n = 6: ranks 5/3 and 10/3 -> 2 + 2/3 and 4 + 1/3.
+    assert (cut["cut_low"], cut["cut_high"]) == (round(2 + 2 / 3, 6), round(4 + 1 / 3, 6))
