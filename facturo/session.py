@@ -64,6 +64,13 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # AQE's local shuffle reader saves network fetches after a join turns
+        # into a broadcast join, at the price of keeping the map side's task
+        # count. In local mode every fetch is local anyway, so only the price
+        # is left (it matters when inputs are few large row groups). On a
+        # cluster it stays on.
+        conf["spark.sql.adaptive.localShuffleReader.enabled"] = "false"
     if input_bytes:
         conf.update(sizing_conf(input_bytes))
     if shuffle_partitions:
