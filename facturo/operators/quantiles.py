@@ -100,6 +100,11 @@ def _lower_rank(f: Fraction) -> Column:
     return F.expr(f"((_n - 1) * {f.numerator}) div {f.denominator}")
 
 
+def lower_rank(p: float | Fraction) -> Column:
+    """Over ``rank_intervals`` rows: the 0-based rank floor((n - 1) * p), exactly."""
+    return _lower_rank(_fraction(p))
+
+
 def _frac_part(f: Fraction) -> Column:
     """(n - 1) * f - floor((n - 1) * f), as double."""
     return F.expr(f"cast(pmod((_n - 1) * {f.numerator}, {f.denominator}) as double) / {f.denominator}")

@@ -6,8 +6,8 @@ else Alto. Because an interpolated cut lies between two neighbouring
 customer totals, ``spend <= cut`` is the same test as ``spend <= v`` where v
 is the lower neighbour (the value at rank floor((n - 1) * p)). So the cuts are
 exact order statistics and no interpolation arithmetic can move a customer.
-The two cuts reach the per-customer rows as scalar subqueries (one value
-each), not as a join.
+The two cuts reach the per-customer rows as one scalar subquery (a struct of
+both values), not as a join; the tier counts need no per-customer pass at all.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facturo.functions import as_money_double
-from facturo.operators.quantiles import exact_quantiles, order_statistics
+from facturo.operators.quantiles import exact_quantiles, lower_rank, order_statistics, rank_intervals
 from facturo.schema import CUSTOMER_ID, TOTAL_PRICE
 
 # Tier labels, from lowest to highest spend.
@@ -73,6 +73,30 @@ def tier_rank(c: str = TIER):
 
 
 def tier_counts(valid: DataFrame, *, key: str = CUSTOMER_ID, approx: bool = False) -> DataFrame:
-    """Customers per tier, ordered low, medium, high."""
-    tiers = customer_tiers(valid, key=key, approx=approx)
-    return tiers.groupBy(TIER).agg(F.count(F.lit(1)).alias("count")).orderBy(tier_rank())
+    """Customers per tier, ordered low, medium, high (tiers without customers omitted).
+
+    Exact path without labelling each customer: the customers at or below a
+    cut value v are exactly the ranks below the end of v's rank interval, so
+    one aggregate over the rank intervals gives all three counts.
+    """
+    if approx:
+        tiers = customer_tiers(valid, key=key, approx=True)
+        return tiers.groupBy(TIER).agg(F.count(F.lit(1)).alias("count")).orderBy(tier_rank())
+    intervals = rank_intervals(customer_spend(valid, key=key), "_spend")
+    ends = []
+    for i, p in enumerate(TIER_PROBS):
+        rank = lower_rank(p)
+        ends.append(F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_end"))).alias(f"_e{i}"))
+    cut = intervals.agg(*ends, F.max("_n").alias("_n"))
+    counts = F.array(
+        F.struct(F.lit(TIER_LOW).alias(TIER), F.col("_e0").alias("count")),
+        F.struct(F.lit(TIER_MID).alias(TIER), (F.col("_e1") - F.col("_e0")).alias("count")),
+        F.struct(F.lit(TIER_HIGH).alias(TIER), (F.col("_n") - F.col("_e1")).alias("count")),
+    )
+    return (
+        cut.filter(F.col("_n").isNotNull())
+        .select(F.inline(counts))
+        .filter(F.col("count") > 0)
+        .select(TIER, F.col("count").cast("long").alias("count"))
+        .orderBy(tier_rank())
+    )
