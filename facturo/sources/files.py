@@ -13,19 +13,24 @@ from pyspark.sql.types import StructType
 from facturo.schema import PAIRS_SCHEMA, RAW_SCHEMA
 
 
-def scan_csv_typed(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
+def scan_csv_typed(
+    spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, multiline: bool = False
+) -> DataFrame:
     """Typed CSV scan with a header line; no inference.
 
     Quotes are escaped by doubling (``"a ""b"", c"``); only empty fields are
     null, so text such as ``NA`` stays text. Malformed numbers become null
     (permissive mode) and show up in the null profile. Splittable: the
     planner cuts large files by ``spark.sql.files.maxPartitionBytes``.
+    ``multiline=True`` reads quoted fields that contain line breaks, at the
+    price of one task per file (such files cannot be split).
     """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("multiLine", multiline)
         .csv(path)
     )
 

@@ -210,3 +210,11 @@ def test_invoice_lines_built_once_per_session(spark):
     assert first.inputFiles() == second.inputFiles()
     assert first.count() == 6029
     assert first.exceptAll(invoice_lines(spark, SF_SMALL)).count() == 0
+
+
+def test_csv_multiline_descriptions(spark, make_raw):
+    raw = make_raw([line(desc="two\nlines, quoted"), line(desc="plain")])
+    path = scratch_path(spark, "csv-multiline")
+    files.write_csv(raw, path)
+    back = files.scan_csv_typed(spark, path, multiline=True)
+    assert sorted(r["Description"] for r in back.collect()) == ["plain", "two\nlines, quoted"]
