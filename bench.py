@@ -1,8 +1,8 @@
 """Benchmark: the invoice-line workload at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Stages mirror the reference's timed pipeline: load, Q1-Q12. ``load`` builds
+Stages mirror the original workload's timed stages: load, Q1-Q12. ``load`` builds
 the invoice-line table from the driver tables and writes it as parquet under
-the shared checkpoint folder (the reference's input is a file too). Q2 writes
+the shared checkpoint folder (the original input is a file too). Q2 writes
 the deduplicated, derived stage once; Q3 samples it and Q4-Q12 scan it with
 pushdown. Row-level stages are
 forced with the ``noop`` sink (full evaluation, nothing collected); results

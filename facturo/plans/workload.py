@@ -50,7 +50,7 @@ def materialize_stages(spark: SparkSession, stages: Stages) -> Stages:
 
 
 def twelve_queries(stages: Stages) -> dict[str, DataFrame]:
-    """Q1-Q12 results, each a lazy DataFrame (the reference's pipeline)."""
+    """Q1-Q12 results, each a lazy DataFrame (the original workload's twelve queries)."""
     v, d = stages.valid, stages.derived
     return {
         "q01_clean": stages.clean,
