@@ -42,7 +42,8 @@ def chunk_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataFr
         n.alias("_n"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long"))).alias("_chunk"),
     )
-    return chunks.select(*cols, "_chunk", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * chunk).alias("_k"))
+    size = F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * chunk)
+    return chunks.select(*cols, "_chunk", size.alias("_k"))
 
 
 def expand_chunks(df: DataFrame) -> DataFrame:

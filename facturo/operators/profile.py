@@ -66,7 +66,9 @@ def profile_schema(raw: DataFrame) -> DataFrame:
 def profile_nulls(raw: DataFrame) -> DataFrame:
     """Nulls per column and their share of rows in %, rounded to 2 places."""
     cols = raw.columns
-    counts = raw.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls__{c}") for c in cols])
+    counts = raw.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls__{c}") for c in cols]
+    )
     for c in cols:
         counts = counts.withColumn(f"pct__{c}", rounded_percent(f"nulls__{c}", "_rows"))
     return _unpivot(counts, cols, ["nulls", "pct"]).select("column", F.col("nulls").cast("long"), "pct")
@@ -189,7 +191,8 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 def profile_numeric_all(raw: DataFrame) -> DataFrame:
     """Numeric half of a describe over every numeric column of the table."""
-    numeric = [f.name for f in raw.schema.fields if f.dataType.typeName() in ("integer", "long", "double", "decimal", "float", "short")]
+    kinds = ("short", "integer", "long", "float", "double", "decimal")
+    numeric = [f.name for f in raw.schema.fields if f.dataType.typeName() in kinds]
     return profile_numeric(raw, numeric)
 
 
@@ -200,9 +203,8 @@ def profile_text(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     no value at all still gets its row (count 0, unique 0, no top value).
     """
     columns = columns or TEXT_COLUMNS
-    long = raw.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(StringType()).alias("value")) for c in columns]))
-    )
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(StringType()).alias("value")) for c in columns]
+    long = raw.select(F.inline(F.array(*pairs)))
     freq = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
     # One zero-weight row per column (names only) keeps every column present,
     # even when it has no value at all or the table is empty; no join needed.
@@ -214,7 +216,9 @@ def profile_text(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
         .agg(
             F.sum("_f").cast("long").alias("count"),
             F.count_if(present).cast("long").alias("unique"),
-            F.min_by(F.col("value"), F.when(present, F.struct((-F.col("_f")).alias("f"), F.col("value").alias("v")))).alias("top"),
+            F.min_by("value", F.when(present, F.struct((-F.col("_f")).alias("f"), F.col("value").alias("v")))).alias(
+                "top"
+            ),
             F.max(F.when(present, F.col("_f"))).cast("long").alias("freq"),
         )
     )

@@ -71,9 +71,10 @@ def word_median(lines: DataFrame, *, column: str = LINE) -> DataFrame:
         .groupBy(F.length("word").alias("length"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    running_sum = Window.orderBy("length").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = hist.select(
         "length",
-        F.sum("_c").over(Window.orderBy("length").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
+        F.sum("_c").over(running_sum).alias("_cum"),
         F.sum("_c").over(Window.partitionBy()).alias("_total"),
     )
     return running.agg(F.min(F.when(F.col("_cum") * 2 >= F.col("_total"), F.col("length"))).alias("median_length"))

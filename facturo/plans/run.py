@@ -74,7 +74,9 @@ def _local_size(path: str) -> int | None:
 
 def main(argv: list[str] | None = None) -> dict[str, str]:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("--input", default=os.environ.get("DATA_PATH"), help="CSV file or directory (default: $DATA_PATH)")
+    parser.add_argument(
+        "--input", default=os.environ.get("DATA_PATH"), help="CSV file or directory (default: $DATA_PATH)"
+    )
     parser.add_argument("--output", default=None, help="base folder of the raw/input/output zones")
     parser.add_argument("--no-materialize", action="store_true", help="keep every stage a lazy view")
     parser.add_argument("--master", default=None)
