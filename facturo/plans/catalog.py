@@ -91,6 +91,12 @@ def _inputs_signature(sf_dir: str) -> tuple:
     return tuple(sig)
 
 
+def _local_path_missing(path: str) -> bool:
+    """True when a plain local path no longer exists (remote URIs are trusted)."""
+    local = path.removeprefix("file:")
+    return ":" not in local and not os.path.exists(local)
+
+
 def invoice_lines_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The invoice-line table of ``sf_dir``, built once per session and reused.
 
@@ -102,7 +108,7 @@ def invoice_lines_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir), _inputs_signature(sf_dir))
     with _BUILT_LOCK:
         path = _BUILT.get(key)
-        if path is None or (not path.startswith(("hdfs:", "s3", "gs:", "abfs")) and not os.path.exists(path)):
+        if path is None or _local_path_missing(path):
             path = scratch_path(spark, "invoice-lines")
             files.write_parquet(invoice_lines(spark, sf_dir), path)
             _BUILT[key] = path
