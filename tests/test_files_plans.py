@@ -218,3 +218,15 @@ def test_csv_multiline_descriptions(spark, make_raw):
     files.write_csv(raw, path)
     back = files.scan_csv_typed(spark, path, multiline=True)
     assert sorted(r["Description"] for r in back.collect()) == ["plain", "two\nlines, quoted"]
+
+
+def test_command_line_run_prints_bounded_results(spark, capsys):
+    from facturo.plans import run
+
+    csv_path = scratch_path(spark, "run-print-input")
+    files.write_csv(invoice_lines(spark, SF_SMALL), csv_path)
+    assert run.main(["--input", csv_path, "--no-materialize"]) == {}
+    out = capsys.readouterr().out
+    for name in ("q05_top_products_revenue", "q11_tier_counts", "profile_nulls", "word_median"):
+        assert f"== {name}" in out
+    assert "== q01_clean" not in out  # row-level stages are never printed
