@@ -51,8 +51,7 @@ def _scan_pairs(spark: SparkSession, raw: DataFrame) -> DataFrame:
 
 def _result_roundtrip(spark: SparkSession, raw: DataFrame) -> DataFrame:
     path = scratch_path(spark, "derived-by-month")
-    files.write_parquet(build_stages(raw).derived, path, partition_by=["Year", "Month"])
-    return spark.read.parquet(path)
+    return files.result_roundtrip(spark, build_stages(raw).derived, path, partition_by=["Year", "Month"])
 
 
 def _description_lines(spark: SparkSession, raw: DataFrame) -> DataFrame:
@@ -257,7 +256,12 @@ def oracle_sql(raw_ctes: str = RAW_SQL) -> dict[str, str]:
     text_cols = ["Invoice", "StockCode", "Description", "InvoiceDate", "Country"]
     card_cols = ["Country", "Invoice", "Customer ID", "StockCode"]
     sql = {
-        "scan_csv_typed": "SELECT * FROM raw",
+        # CSV has no empty string apart from a missing value: "" reads back as null.
+        "scan_csv_typed": "SELECT "
+        + ", ".join(
+            f"NULLIF({_q(c)}, '') AS {_q(c)}" if _RAW_TYPES[c] == "string" else _q(c) for c in RAW_COLUMNS
+        )
+        + " FROM raw",
         "scan_pairs": "SELECT * FROM pairs",
         "result_roundtrip": "SELECT * FROM derived",
         "description_lines": "SELECT value FROM lines",

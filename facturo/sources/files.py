@@ -36,7 +36,11 @@ def scan_csv_typed(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header line, doubled-quote escaping, text kept byte for byte (no trimming)."""
+    """Header line, doubled-quote escaping, text kept byte for byte (no trimming).
+
+    As in any CSV, an empty text and a missing value are the same empty
+    field: an empty string reads back as null.
+    """
     (
         df.write.mode(mode)
         .option("header", True)
@@ -74,12 +78,26 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     writer.parquet(path)
 
 
-def result_roundtrip(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Write a result as a directory of parts and read it back as one result."""
+def result_roundtrip(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """Write a result as a directory of parts and read it back as one result.
+
+    The read uses the written schema (partition columns last, as Spark lays
+    them out), so nothing is inferred and an empty result reads back empty.
+    """
     if fmt == "parquet":
-        write_parquet(df, path)
-        return spark.read.parquet(path)
+        write_parquet(df, path, partition_by=partition_by)
+        parts = partition_by or []
+        fields = [f for f in df.schema.fields if f.name not in parts] + [df.schema[c] for c in parts]
+        return spark.read.schema(StructType(fields)).parquet(path)
     if fmt == "csv":
+        if partition_by:
+            raise ValueError("partitioned CSV round trips are not supported")
         write_csv(df, path)
         return scan_csv_typed(spark, path, df.schema)
     raise ValueError(f"unsupported format: {fmt}")

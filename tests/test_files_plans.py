@@ -230,3 +230,10 @@ def test_command_line_run_prints_bounded_results(spark, capsys):
     for name in ("q05_top_products_revenue", "q11_tier_counts", "profile_nulls", "word_median"):
         assert f"== {name}" in out
     assert "== q01_clean" not in out  # row-level stages are never printed
+
+
+def test_empty_partitioned_roundtrip_keeps_schema(spark, make_raw):
+    derived = build_stages(make_raw([line(price=0.0)])).derived  # everything cleaned away
+    back = files.result_roundtrip(spark, derived, scratch_path(spark, "empty-rt"), partition_by=["Year", "Month"])
+    assert back.count() == 0
+    assert sorted(back.columns) == sorted(derived.columns)
