@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import glob
+import os
 
 import duckdb
 from hypothesis import HealthCheck, Phase, given, settings
@@ -29,7 +30,7 @@ rows = st.lists(
         st.sampled_from(["A", "B", None]),
     ),
     min_size=1,
-    max_size=60,
+    max_size=int(os.environ.get("PROPERTY_MAX_ROWS", "60")),
 )
 
 
