@@ -2,7 +2,8 @@
 
 Scratch data (materialised stages, file round trips) always goes under the
 folder the cluster names in ``spark.checkpoint.dir``. A private folder is set
-only when that setting is absent, which is the case in local tests.
+only when that setting is absent in local mode (tests); elsewhere it is an
+error, since a machine-local folder cannot be shared by executors.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # off. AQE still turns a join into a broadcast join when the *measured*
 # shuffle output of one side is under the adaptive threshold. Explicit
 # ``broadcast()`` hints are kept for inputs whose size is bounded by
-# construction (one row per partition, a fixed 25-row dimension).
+# construction (one row per range partition or per profiled column, a fixed
+# 25-row dimension).
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -124,4 +126,5 @@ def materialize(df, spark: SparkSession, name: str):
     """
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # Read with the written schema: no inference job, and empty input reads back empty.
+    return spark.read.schema(df.schema).parquet(path)
