@@ -129,11 +129,12 @@ def write_warc(pages: DataFrame, folder: str, revisit_bytes: int = 1000, file_by
     return materialize(decided.mapInArrow(write, INDEX), pages.sparkSession, "warc-index")
 
 
-def read_records(index: DataFrame, with_payload: bool = False, max_gap: int = 64 << 10, max_read: int = 8 << 20) -> DataFrame:
+def read_records(index: DataFrame, with_payload: bool = False, max_gap: int = 64 << 10, max_read: int = 8 << 20, task_bytes: int = 16 << 20) -> DataFrame:
     """The records that ``index`` names, read from their archives.
 
     Ranges of one file that lie at most ``max_gap`` bytes apart are read at
-    once, up to ``max_read`` bytes (one record may be longer).
+    once, up to ``max_read`` bytes (one record may be longer). A task reads
+    about ``task_bytes``.
     """
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())] + [("payload", pa.binary())] * with_payload
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload
@@ -162,7 +163,9 @@ def read_records(index: DataFrame, with_payload: bool = False, max_gap: int = 64
             rows = [parse_record(zlib.decompress(data[a - start : a - start + n], wbits=31)) for a, n in held]
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in fields], schema=pa.schema(fields))
 
-    ranges = index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    # the index is small, so its own size must not set the number of tasks
+    total = index.agg(F.sum("length")).first()[0] or 0
+    ranges = index.select("path", "offset", "length").repartitionByRange(total // task_bytes + 1, "path", "offset").sortWithinPartitions("path", "offset")
     return ranges.mapInArrow(read, schema)
 
 
