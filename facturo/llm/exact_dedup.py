@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, packed
+from .common import materialize, packed, sized_join
 
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Bits set per text, all in one word.
@@ -72,9 +72,11 @@ def mark_copies(docs: DataFrame, carry: bool = False, max_words: int = MAX_WORDS
     once = probed.where("not maybe").select("*", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")).select(out)
     repeats = probed.where("maybe").select(*["row"] * carry, "doc_id", "sha", "at")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at"))
-    groups = repeats.groupBy("sha").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("sha", F.col("first.doc_id").alias("keep_id"), F.col("first.at").alias("first_at"), "group_size")
-    more = repeats.join(groups, "sha").withColumn("kept", F.expr("at = first_at")).select(out)
+    groups = repeats.groupBy("sha").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = materialize(groups.select("sha", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at"), "n"), spark, "copy-groups")
+    # a group with a third of all rows is not gathered: its one row here meets them where they are, or salted
+    more = sized_join(repeats, groups, ["sha"])
+    more = more.withColumn("keep_id", F.expr("if(n is null, doc_id, first_id)")).withColumn("group_size", F.expr("coalesce(n, 1L)")).withColumn("kept", F.expr("coalesce(at = first_at, true)")).select(out)
     return once.unionByName(more)
 
 
