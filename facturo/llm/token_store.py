@@ -202,7 +202,8 @@ def read_token_files(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                     columns = [pa.array(docs[i : i + 4096], pa.int64()), pa.array(starts[i : i + 4096] + base), pa.array(ends[i : i + 4096] - starts[i : i + 4096]), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, schema=pa.schema(fields))
 
-    return based.repartition("path").mapInArrow(read, schema)
+    # a task per file: the manifest is small, so its size must not set the number of tasks
+    return based.repartition(max(1, manifest.count()), "path").mapInArrow(read, schema)
 
 
 def token_index(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
