@@ -62,7 +62,7 @@ def mark_copies(docs: DataFrame, carry: bool = False, max_words: int = MAX_WORDS
     keyed = hashed.select("*", F.expr("xxhash64(sha)").alias("h1"), F.expr("xxhash64(sha, 1)").alias("h2"), F.monotonically_increasing_id().alias("at"))
     keyed = materialize(keyed, spark, "text-hashes")
     words = filter_words(keyed.count(), max_words)
-    seen = repeated_bits(keyed, words)
+    seen = materialize(repeated_bits(keyed, words), spark, "repeated-bits")
 
     probed = keyed.select("*", *_probes(words)).join(F.broadcast(seen), "word", "left")
     maybe = " and ".join(f"shiftright(seen, bits[{i}]) & 1 = 1" for i in range(PROBES))
