@@ -216,7 +216,7 @@ def place_pieces(pieces: DataFrame, spark: SparkSession, capacity: int = 4096) -
     At most ``capacity`` rows (lengths with counts) reach the driver.
     """
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bucket_rows = max(1000, math.isqrt(sum(counts.values())))
+    bucket_rows = max(200, math.isqrt(sum(counts.values())))
     buckets = spark.createDataFrame([(s, -(-n // bucket_rows)) for s, n in counts.items()], "length long, buckets long")
     runs = spark.createDataFrame(plan_places(counts, capacity), "length long, low long, high long, copies long, sequence long, at long")
     keyed = pieces.join(F.broadcast(buckets), "length").withColumn("bucket", F.expr("pmod(xxhash64(doc_id, piece, ids_crc32), buckets)"))
