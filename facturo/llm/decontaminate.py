@@ -37,6 +37,8 @@ SEED = 5
 COVERAGE = 0.5
 #: Bits of the window bitmap (2 MB).
 BITMAP_BITS = 1 << 24
+#: Pairs tiled by one task.
+PAIRS_PER_TASK = 500
 _BASE = 0xD1342543DE82EF95
 _TILE = "item_start int, text_start long, words int"
 
@@ -203,11 +205,13 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
     one_each = materialize(one_each, spark, "text-runs")
     by_seed = seeds.groupBy("seed").agg(F.collect_list("item").alias("items"))
     shared = sized_join(_windows(one_each, ["text_key", "run"]), by_seed, ["seed"], "inner")
-    pairs = shared.select("text_key", "run", F.explode("items").alias("item")).distinct()
+    pairs = materialize(shared.select("text_key", "run", F.explode("items").alias("item")).distinct(), spark, "pairs")
     held = pairs.join(one_each, ["text_key", "run"]).groupBy("text_key", "item").agg(F.collect_list(F.struct("start", "words")).alias("runs"))
     # items of at most some hundred words each: 20,000 rows are some 20 MB
     full = sized_join(held, items.select("item", "item_id", "words"), ["item"], "inner", max_rows=20_000)
-    return texts, materialize(_tiled(full.select("text_key", "item_id", "words", "runs")), spark, "tilings")
+    # tiling costs far more than its input's size tells, so the number of tasks follows the number of pairs
+    dealt = full.select("text_key", "item_id", "words", "runs").repartition(pairs.count() // PAIRS_PER_TASK + 1, "text_key", "item_id")
+    return texts, materialize(_tiled(dealt), spark, "tilings")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
