@@ -5,7 +5,8 @@ compared with every licence template whose size allows a match: with a and b
 distinct bigrams, Dice can reach t only if a * t / (2 - t) <= b <= a * (2 - t) / t.
 Texts are compared after the same normalisation: lower case, ``licence`` and
 the copyright sign spelled one way, and anything but letters and digits a
-break between words. The templates are a few kilobytes and stand in the plan
+break between words. A text needs one of a few words per template to reach t at all, which spares
+most texts the comparison. The templates are a few kilobytes and stand in the plan
 as a literal; nothing is shuffled.
 
 One row per matching unit, with its best template (ties: the smaller id).
@@ -91,6 +92,37 @@ def size_bounds(bigrams: int, dice: float = DICE) -> tuple[float, float]:
     return bigrams * dice / (2 - dice), bigrams * (2 - dice) / dice
 
 
+def gate_words(grams: tuple[str, ...], dice: float = DICE) -> set[str]:
+    """Words of which any text that reaches ``dice`` has one.
+
+    Dice of t needs at least t / (2 - t) of a template's bigrams, so a text
+    that has none of the words of more than the rest cannot match.
+    """
+    missed = set(grams)
+    most = len(grams) * (1 - dice / (2 - dice))
+    chosen: set[str] = set()
+    words = {w for g in grams for w in g.split()}
+    while len(grams) - len(missed) <= most:
+        held = lambda w: sum(w in g.split() for g in missed)
+        best = max(words - chosen, key=lambda w: (held(w) > 0 and w != "copyright", "licens" in w, min(len(w), 9), held(w), w))
+        chosen.add(best)
+        missed = {g for g in missed if best not in g.split()}
+    return chosen
+
+
+def _may_match(text: Column, known: list[tuple[str, tuple[str, ...]]], dice: float) -> Column:
+    """Whether a text has a gate word of any template, in either spelling, as a part of some word."""
+    lowered = F.lower(text)
+    words = set().union(*(gate_words(grams, dice) for _, grams in known))
+    # a word that has another as a part needs no test of its own
+    words = {w for w in words if not any(x != w and x in w for x in words)}
+    spellings = {v for w in words for v in ((w, "©", "(c)") if "copyright" in w else (w, w.replace("license", "licence")))}
+    out = F.lit(False)
+    for w in sorted(spellings, key=lambda w: (len(w), w)):
+        out = out | F.contains(lowered, F.lit(w))
+    return out
+
+
 def bigrams(text: Column) -> Column:
     """Distinct word bigrams of a text."""
     words = normalised_words(text)
@@ -120,6 +152,7 @@ def scan_licences(docs: DataFrame, dice: float = DICE, templates: list[tuple[str
     )
     read = F.transform(units, lambda u: F.struct(u["scope"].alias("scope"), u["unit"].alias("unit"), bigrams(u["held"]).alias("grams")))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    base = base.where(_may_match(F.col("text"), known, dice))
     # the generator keeps each unit's bigrams as a value, so they are made once
     sized = base.select("doc_id", F.explode(read).alias("u")).where(F.size("u.grams").between(min(b[0] for b in bounds), max(b[1] for b in bounds)))
     n = F.size("u.grams")
