@@ -20,8 +20,8 @@ def _col(c: str | Column) -> Column:
 
 
 def line_total(quantity: str | Column, price: str | Column) -> Column:
-    """Quantity x price in exact decimal arithmetic (decimal(27,4))."""
-    return _col(quantity).cast(QUANTITY_DECIMAL) * _col(price).cast(PRICE_DECIMAL)
+    """Quantity x price in exact decimal arithmetic (decimal(27,4)); null if a factor is NaN or does not fit."""
+    return _col(quantity).try_cast(QUANTITY_DECIMAL) * _col(price).try_cast(PRICE_DECIMAL)
 
 
 def as_money_double(c: str | Column) -> Column:
@@ -82,8 +82,8 @@ def word_tokens(c: str | Column) -> Column:
 
 
 def whole_number_text(c: str | Column) -> Column:
-    """Numeric value to a whole number through double ("13085.0" -> 13085)."""
-    return _col(c).cast(DoubleType()).cast("long")
+    """Numeric value to a whole number through double ("13085.0" -> 13085); null if NaN or out of range."""
+    return _col(c).try_cast(DoubleType()).try_cast("long")
 
 
 def month_end(ts: str | Column) -> Column:

@@ -25,6 +25,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from facturo.session import materialize
+
 _MAX_DENOMINATOR = 10**6
 # Upper bound on range partitions: the offsets table has at most this many
 # rows (per group), whatever ``spark.sql.shuffle.partitions`` is set to.
@@ -55,21 +57,20 @@ def rank_intervals(
     parts = num_ranges or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     keys = [group] if group else []
     freq = df if counted else value_counts(df, value, group)
+    # Range bounds are sampled, so a second run of the exchange could cut
+    # elsewhere. The ranges are therefore written once, with their numbers, and
+    # both branches below read that table; a retried task reads it again.
     ranged = freq.repartitionByRange(parts, *[F.col(k) for k in keys], F.col(value)).withColumn(
         "_pid", F.spark_partition_id()
     )
+    ranged = materialize(ranged, spark, "value-ranges")
     local = ranged.withColumn(
         "_cum",
         F.sum("_w").over(
             Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ),
     )
-    # Sizes come from the same windowed frame (its last running sum), so both
-    # branches are one identical subtree: Spark's exchange reuse (on by default,
-    # also under AQE) runs the range exchange once, and both branches see the
-    # same range bounds and partition ids. A retried task reads the same
-    # shuffle output, so ranks stay consistent after an executor loss.
-    sizes = local.groupBy("_pid", *keys).agg(F.max("_cum").alias("_size"))
+    sizes = ranged.groupBy("_pid", *keys).agg(F.sum("_w").alias("_size"))
     offsets = sizes.select(
         "_pid",
         *keys,

@@ -56,8 +56,14 @@ def test_more_ranges_than_values(spark):
     assert rows == [(1, 0, 1, 2), (5, 1, 2, 2)]
 
 
-def test_range_exchange_is_shared_by_both_branches(spark):
-    df = spark.createDataFrame([(float(v % 97),) for v in range(2000)], "x double")
-    out = order_statistics(df, "x", [0.5], ["m"])
-    assert out.collect()[0]["m"] == float(np.quantile([v % 97 for v in range(2000)], 0.5, method="lower"))
-    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ranks_do_not_rest_on_exchange_reuse(spark, reuse):
+    # many distinct values, a heavy tail and a hot value
+    df = spark.range(400_000).selectExpr("if(id % 3 = 0, 7L, (id * 2654435761) % 1000000007) as x")
+    wanted = np.quantile([7 if i % 3 == 0 else i * 2654435761 % 1000000007 for i in range(400_000)], [0.25, 0.5, 0.75], method="lower")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = order_statistics(df, "x", [0.25, 0.5, 0.75], ["a", "b", "c"]).collect()[0]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert [got["a"], got["b"], got["c"]] == wanted.tolist()
