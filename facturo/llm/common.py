@@ -88,8 +88,8 @@ def open_input(uri: str):
     return files.open_input_file(path)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds about ``max_chars`` bytes in each; one row may hold more."""
+def sliced(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4 << 20, max_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column`` holds about ``max_chars`` bytes, and at most ``max_rows`` rows, in each; one row may hold more bytes."""
     import numpy as np
     import pyarrow.compute as pc
 
@@ -100,7 +100,8 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4 <<
         block = np.cumsum(sizes, dtype=np.int64) // max_chars
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
-            yield batch.slice(a, b - a)
+            for start in range(a, b, max_rows):
+                yield batch.slice(start, min(max_rows, b - start))
 
 
 def table_path(sf_dir: str, name: str) -> str:
