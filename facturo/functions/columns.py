@@ -8,10 +8,11 @@ from pyspark.sql.types import DoubleType, TimestampNTZType
 
 from facturo.schema import PRICE_DECIMAL, QUANTITY_DECIMAL
 
-# The cancellation prefix of an invoice number and the
-# whitespace class used to strip and split text.
+# The cancellation prefix of an invoice number, the Unicode
+# blanks stripped from a text's ends, and the blanks that separate words.
 CANCEL_PREFIX = "C"
-BLANK_EDGES = r"^\s+|\s+$"
+BLANK = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+BLANK_EDGES = rf"\A{BLANK}+|{BLANK}+\z"
 BLANKS = r"\s+"
 
 
@@ -77,8 +78,8 @@ def strip_blanks(c: str | Column) -> Column:
 
 
 def word_tokens(c: str | Column) -> Column:
-    """Array of whitespace-separated words of a stripped, non-empty text."""
-    return F.split(strip_blanks(c), BLANKS)
+    """Array of the words of a text, without empty ones at its ends."""
+    return F.filter(F.split(_col(c), BLANKS), lambda word: word != "")
 
 
 def whole_number_text(c: str | Column) -> Column:

@@ -26,6 +26,9 @@ def top_k(
 
 
 EXPAND_CHUNK = 10_000
+# Base and number of digits of a chunk number: 4096 ** 4 chunks of one copy
+# or more are above any count.
+CHUNK_FANOUT, CHUNK_LEVELS = 4096, 4
 
 
 def chunk_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
@@ -33,15 +36,19 @@ def chunk_counts(df: DataFrame, count: str, chunk: int = EXPAND_CHUNK) -> DataFr
 
     Output: the other columns, ``_chunk`` (0-based chunk number) and ``_k``
     (copies in that chunk). A group of any size becomes many small rows that
-    the next shuffle can spread over tasks.
+    the next shuffle can spread over tasks. Chunk numbers are made digit by
+    digit, so no array has more than ``CHUNK_FANOUT`` elements.
     """
     cols = [c for c in df.columns if c != count]
-    n = F.col(count).cast("long")
-    chunks = df.select(
-        *cols,
-        n.alias("_n"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long"))).alias("_chunk"),
-    )
+    zero = F.lit(0).cast("long")
+    chunks = df.where(F.col(count) > 0).select(*cols, F.col(count).cast("long").alias("_n"), zero.alias("_chunk"))
+    for level in reversed(range(CHUNK_LEVELS)):
+        step = CHUNK_FANOUT**level
+        last = F.least(F.expr(f"(_n - 1) div {chunk} - _chunk") / step, F.lit(CHUNK_FANOUT - 1))
+        digit = F.explode(F.sequence(zero, F.floor(last).cast("long"))).alias("_digit")
+        chunks = chunks.select(*cols, "_n", "_chunk", digit).select(
+            *cols, "_n", (F.col("_chunk") + F.col("_digit") * step).alias("_chunk")
+        )
     size = F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * chunk)
     return chunks.select(*cols, "_chunk", size.alias("_k"))
 

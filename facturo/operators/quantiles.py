@@ -28,9 +28,6 @@ from pyspark.sql import functions as F
 from facturo.session import materialize
 
 _MAX_DENOMINATOR = 10**6
-# Upper bound on range partitions: the offsets table has at most this many
-# rows (per group), whatever ``spark.sql.shuffle.partitions`` is set to.
-MAX_RANGES = 8192
 
 
 def _fraction(p: float | Fraction) -> Fraction:
@@ -54,7 +51,7 @@ def rank_intervals(
     ``counted=True`` means ``df`` already is a ``value_counts`` result.
     """
     spark = df.sparkSession
-    parts = num_ranges or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    parts = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group] if group else []
     freq = df if counted else value_counts(df, value, group)
     # Range bounds are sampled, so a second run of the exchange could cut
@@ -82,11 +79,9 @@ def rank_intervals(
         ).alias("_off"),
         F.sum("_size").over(Window.partitionBy(*keys)).alias("_n"),
     )
-    # ``offsets`` has one row per (range partition, group) holding data. Without
-    # a group that is at most ``parts`` rows, a proven bound, so it is
-    # broadcast. With a group it is at most parts + groups rows; the group count
-    # is the caller's, so AQE decides from the measured size instead.
-    located = local.join(offsets if keys else F.broadcast(offsets), ["_pid", *keys])
+    # ``offsets`` has one row per (range partition, group) holding data; AQE
+    # decides from its measured size whether to broadcast it.
+    located = local.join(offsets, ["_pid", *keys])
     return located.select(
         *keys,
         F.col(value),

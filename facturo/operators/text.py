@@ -35,10 +35,7 @@ def customer_quantity_pairs(
 
 def words(lines: DataFrame, *, column: str = LINE) -> DataFrame:
     """One row per whitespace-separated word (column ``word``)."""
-    return (
-        lines.select(F.explode(word_tokens(column)).alias("word"))
-        .filter(F.col("word") != "")
-    )
+    return lines.select(F.explode(word_tokens(column)).alias("word"))
 
 
 def word_length_hist(lines: DataFrame, *, column: str = LINE) -> DataFrame:

@@ -8,18 +8,20 @@ grows with the tables. Column names are aliased the same way on both sides.
 
 from __future__ import annotations
 
-import os
 import threading
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from facturo.operators import metrics, prepare, profile, segments, text
-from facturo.plans.workload import build_stages
+from facturo.plans.workload import build_stages, materialize_stages
 from facturo.schema import RAW_COLUMNS
 from facturo.session import scratch_path
 from facturo.sources import files
 from facturo.sources.fixture import FIXTURE_TABLES, RAW_SQL, invoice_lines, table_path
+from facturo.sources.zones import Zones, text_jobs_from_inputs, write_text_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 RawQuery = Callable[[SparkSession, DataFrame], DataFrame]
@@ -54,6 +56,20 @@ def _result_roundtrip(spark: SparkSession, raw: DataFrame) -> DataFrame:
     return files.result_roundtrip(spark, build_stages(raw).derived, path, partition_by=["Year", "Month"])
 
 
+def _result_overwrite(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """A second run's result replaces the first one's, which had other rows and columns."""
+    path = scratch_path(spark, "overwritten")
+    files.write_parquet(raw, path)
+    return files.result_roundtrip(spark, build_stages(raw).derived, path)
+
+
+def _words_from_files(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """The word-length histogram of the extracts in the input zone, read as text lines."""
+    zones = Zones(scratch_path(spark, "zones"))
+    write_text_inputs(raw, zones)
+    return text_jobs_from_inputs(spark, zones)["word_length_hist"]
+
+
 def _description_lines(spark: SparkSession, raw: DataFrame) -> DataFrame:
     return text.description_lines(raw)
 
@@ -67,7 +83,8 @@ def _text_job(op) -> RawQuery:
 
 
 def _combine(spark: SparkSession, raw: DataFrame) -> DataFrame:
-    s = build_stages(raw)
+    # cut at the derived stage: its dedup shuffle runs once for both sides
+    s = materialize_stages(spark, build_stages(raw))
     return metrics.country_revenue_and_cancellations(s.valid, s.derived)
 
 
@@ -79,21 +96,11 @@ _BUILT: dict[tuple, str] = {}
 _BUILT_LOCK = threading.Lock()
 
 
-def _inputs_signature(sf_dir: str) -> tuple:
-    """Sizes and modification times of the local input files (empty for remote URIs)."""
-    sig = []
-    for name in FIXTURE_TABLES:
-        path = table_path(sf_dir, name)
-        if os.path.exists(path):
-            st = os.stat(path)
-            sig.append((name, st.st_size, st.st_mtime_ns))
-    return tuple(sig)
-
-
-def _local_path_missing(path: str) -> bool:
-    """True when a plain local path no longer exists (remote URIs are trusted)."""
-    local = path.removeprefix("file:")
-    return ":" not in local and not os.path.exists(local)
+def _inputs_signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """A digest of names, sizes and times of all input files, listed by Spark (any URI; no content is read)."""
+    listed = spark.read.format("binaryFile").load([table_path(sf_dir, name) for name in FIXTURE_TABLES])
+    digest = F.bit_xor(F.xxhash64("path", "length", "modificationTime"))
+    return tuple(listed.agg(F.count(F.lit(1)), F.sum("length"), digest).first())
 
 
 def invoice_lines_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,16 +109,20 @@ def invoice_lines_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     The five-table join runs once; its result is written as parquet under the
     shared checkpoint folder and every registered query scans that table
     (pushdown, pruning, no repeated joins). The key includes the session and
-    the input files' sizes and times, so changed inputs are rebuilt.
+    the input files' sizes and times, so changed inputs are rebuilt, and so is
+    a written table that is gone.
     """
-    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir), _inputs_signature(sf_dir))
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, _inputs_signature(spark, sf_dir))
     with _BUILT_LOCK:
-        path = _BUILT.get(key)
-        if path is None or _local_path_missing(path):
-            path = scratch_path(spark, "invoice-lines")
-            files.write_parquet(invoice_lines(spark, sf_dir), path)
-            _BUILT[key] = path
-    return spark.read.parquet(path)
+        if key in _BUILT:
+            try:
+                return spark.read.parquet(_BUILT[key])
+            except AnalysisException:
+                del _BUILT[key]
+        path = scratch_path(spark, "invoice-lines")
+        files.write_parquet(invoice_lines(spark, sf_dir), path)
+        _BUILT[key] = path
+        return spark.read.parquet(path)
 
 
 def queries() -> dict[str, Query]:
@@ -134,6 +145,8 @@ def raw_queries() -> dict[str, RawQuery]:
         "scan_csv_typed": _scan_csv_typed,
         "scan_pairs": _scan_pairs,
         "result_roundtrip": _result_roundtrip,
+        "result_overwrite": _result_overwrite,
+        "word_length_hist_files": _words_from_files,
         "description_lines": _description_lines,
         "customer_quantity_pairs": _on("raw", text.customer_quantity_pairs),
         "derived_sample": _on("derived", prepare.derived_sample),
@@ -204,7 +217,7 @@ pairs AS (
          CAST("Quantity" AS INTEGER) AS quantity
   FROM raw WHERE "Customer ID" IS NOT NULL AND "Quantity" IS NOT NULL),
 lines AS (
-  SELECT v AS value FROM (SELECT regexp_replace("Description", '^\\s+|\\s+$', '', 'g') AS v FROM raw)
+  SELECT v AS value FROM (SELECT trim("Description", '@BLANKS@') AS v FROM raw)
   WHERE v IS NOT NULL AND v <> ''),
 word_list AS (
   SELECT unnest(regexp_split_to_array(value, '\\s+')) AS word FROM lines),
@@ -212,6 +225,10 @@ word_rows AS (SELECT word FROM word_list WHERE word <> '')
 """
 
 
+# Unicode blanks as Python's own character table has them.
+_STAGES_SQL = _STAGES_SQL.replace("@BLANKS@", "".join(filter(str.isspace, map(chr, range(0x10000)))))
+
+
 def _with(body: str, raw_ctes: str) -> str:
     return f"WITH {raw_ctes},{_STAGES_SQL}\n{body}"
 
@@ -264,6 +281,7 @@ def oracle_sql(raw_ctes: str = RAW_SQL) -> dict[str, str]:
         + " FROM raw",
         "scan_pairs": "SELECT * FROM pairs",
         "result_roundtrip": "SELECT * FROM derived",
+        "result_overwrite": "SELECT * FROM derived",
         "description_lines": "SELECT value FROM lines",
         "customer_quantity_pairs": "SELECT * FROM pairs",
         "derived_sample": f"""
@@ -436,4 +454,5 @@ FROM (SELECT len, sum(c) OVER (ORDER BY len) AS cum, sum(c) OVER () AS total
 FROM (SELECT CAST({_q(c)} AS VARCHAR) AS v FROM raw) x"""
         for c in text_cols
     )
+    sql["word_length_hist_files"] = sql["word_length_hist"]
     return {name: _with(body, raw_ctes) for name, body in sql.items()}

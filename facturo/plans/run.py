@@ -5,8 +5,9 @@
 The input defaults to the ``DATA_PATH`` environment variable. With
 ``--output`` every result is written as parquet under ``<output>/output/<name>``
 (a directory of parts per result); without it, the stage counts and every
-bounded result are printed. The derived stage is written once under the
-shared checkpoint folder unless ``--no-materialize`` is given.
+bounded result are printed whole. The CSV is parsed once, and the raw and
+derived stages are written under the shared checkpoint folder, unless
+``--no-materialize`` is given.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from facturo.operators import metrics, prepare, profile, segments, text
 from facturo.plans.workload import build_stages, materialize_stages, twelve_queries
-from facturo.session import build_session
+from facturo.session import build_session, materialize, sizing_conf
 from facturo.sources.files import scan_csv_typed, write_pairs
 from facturo.sources.zones import Zones, write_results
 
@@ -62,14 +64,10 @@ def all_results(stages) -> dict[str, DataFrame]:
     return results
 
 
-def _local_size(path: str) -> int | None:
-    """Bytes under a local input path, to size partitions; None for remote URIs."""
-    local = path.removeprefix("file://")
-    if "://" in local or not os.path.exists(local):
-        return None
-    if os.path.isfile(local):
-        return os.path.getsize(local)
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local) for f in fs)
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under an input path of any file system, to size partitions; files are listed, not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listed.agg(F.sum("length")).first()[0] or 0
 
 
 def main(argv: list[str] | None = None) -> dict[str, str]:
@@ -84,10 +82,14 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     if not args.input:
         parser.error("--input or DATA_PATH is required")
 
-    spark = build_session(master=args.master, app_name="facturo-run", input_bytes=_local_size(args.input))
-    stages = build_stages(scan_csv_typed(spark, args.input))
-    if not args.no_materialize:
-        stages = materialize_stages(spark, stages)
+    spark = build_session(master=args.master, app_name="facturo-run")
+    for key, value in sizing_conf(_input_bytes(spark, args.input)).items():
+        spark.conf.set(key, value)
+    raw = scan_csv_typed(spark, args.input)
+    if args.no_materialize:
+        stages = build_stages(raw)
+    else:
+        stages = materialize_stages(spark, build_stages(materialize(raw, spark, "raw")))
     results = all_results(stages)
 
     if args.output:
