@@ -54,14 +54,15 @@ def small_enough(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return small.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """Join on unique keys of ``small``: broadcast when its counted size allows, else shuffled with salted keys.
 
     ``how`` is left, inner, left_semi or left_anti. The salt deals a hot key
     of ``big`` over ``JOIN_SALTS`` parts; ``small``, which has one row a key,
-    is copied that many times.
+    is copied that many times. ``rows``: an upper bound of its rows that is
+    already known, so that they need no counting.
     """
-    if small_enough(small, max_rows):
+    if rows <= max_rows if rows is not None else small_enough(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     salted = big.withColumn("_salt", (F.rand(7) * JOIN_SALTS).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))

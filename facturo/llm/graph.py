@@ -15,22 +15,25 @@ from pyspark.sql import functions as F
 from .common import materialize, sized_join
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first()
-    return tuple(row)
+def _shape(edges: DataFrame) -> tuple[int, bool]:
+    """Number of edges (a > b), and whether they are stars: each node is a root, or has one edge, to a root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below")).unionAll(edges.select(F.col("b").alias("node"), F.lit(0).alias("below")))
+    nodes = ends.groupBy("node").agg(F.sum("below").alias("below"), F.count(F.lit(1)).alias("n"))
+    row = nodes.agg(F.sum("below").alias("edges"), F.max(F.expr("below > 0 and n > 1")).alias("open")).first()
+    return row["edges"] or 0, not row["open"]
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star round over edges with a > b."""
+def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
+    """One star round over edges with a > b; ``n``: an upper bound of their number."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     if large:
         # all neighbours above a go to the least of a's neighbourhood
         up = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        moved = sized_join(up, least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = sized_join(up, least, ["a"], rows=2 * n).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         # a's neighbours below it, and a itself, go to the least
-        moved = sized_join(edges, least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
+        moved = sized_join(edges, least, ["a"], rows=n).select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
     return moved.where("a > b").distinct()
 
 
@@ -39,11 +42,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = materialize(ordered, spark, "components")
-    before, signature = None, _signature(now)
-    while signature[0] and signature != before:
-        before = signature
-        now = materialize(_star(now, large=True), spark, "components")
-        now = materialize(_star(now, large=False), spark, "components")
-        signature = _signature(now)
+    n, stars = _shape(now)
+    while not stars:
+        # a large round yields at most one edge for each edge
+        now = materialize(_star(now, large=True, n=n), spark, "components")
+        now = materialize(_star(now, large=False, n=n), spark, "components")
+        n, stars = _shape(now)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
+
+
+def merged_components(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Written (node, component) after further ``links`` (a, b): only components that these join are looked at again."""
+    spark = links.sparkSession
+    ends = links.select("a", "b")
+    for side in ("a", "b"):
+        names = components.select(F.col("node").alias(side), "component")
+        ends = sized_join(ends, names, [side]).withColumn(side, F.coalesce("component", side)).drop("component")
+    moved = materialize(connected_components(ends), spark, "moved")
+    old = sized_join(components, moved.select(F.col("node").alias("component"), F.col("component").alias("to")), ["component"]).select("node", F.coalesce("to", "component").alias("component"))
+    new = sized_join(moved, components.select("node"), ["node"], "left_anti")
+    return materialize(old.unionAll(new), spark, "components")
