@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from facturo.llm import common, decontaminate, exact_dedup, langid, licences, near_dedup, packing, pii, token_store, tokens, url_filter, warc
+from facturo.llm import common, decontaminate, exact_dedup, graph, langid, licences, near_dedup, packing, pii, token_store, tokens, url_filter, warc
 from facturo.llm.shingles import shingles, word_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, row string"
@@ -91,6 +91,33 @@ def test_exact_dedup(session, rows):
         assert len(kept) == len(size) and all(r["doc_id"] == r["keep_id"] for r in kept)
 
 
+def test_components_and_merging(session):
+    rng = random.Random(5)
+    first = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(7, 7)] + [(100, i) for i in range(80, 100)]
+    more = [(rng.randrange(70), rng.randrange(70)) for _ in range(12)] + [(200, 201), (201, 200), (90, 91)]
+
+    def brute(edges):
+        label = {n: n for e in edges if e[0] != e[1] for n in e}
+        changed = True
+        while changed:
+            changed = False
+            for a, b in edges:
+                if a != b and label[a] != label[b]:
+                    label[a] = label[b] = min(label[a], label[b])
+                    changed = True
+        return label
+
+    def table(edges):
+        return session.createDataFrame(edges, "a long, b long")
+
+    components = graph.connected_components(table(first))
+    assert {r.node: r.component for r in components.collect()} == brute(first)
+    merged = graph.merged_components(components, table(more))
+    assert {r.node: r.component for r in merged.collect()} == brute(first + more)
+    assert graph.connected_components(table([])).count() == 0
+    assert graph.merged_components(components, table([(100, 99)])).count() == components.count()
+
+
 def test_near_dedup(session, rows):
     found = near_dedup.mark_near_copies(session.createDataFrame(rows, DOCS)).collect()
     sets = sets_of([r[1] for r in rows])
