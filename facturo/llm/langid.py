@@ -9,8 +9,9 @@ Evidence about a text's language, multiplied as independent likelihoods:
 - the host: P(language | host), smoothed towards its domain's distribution,
   and that towards the corpus'.
 
-The trigram models are fitted on a bounded sample of labelled rows
-(``SAMPLE_ROWS``). All other tables are grouped sums over every row, of the
+The trigram models are fitted on about ``SAMPLE_ROWS`` rows of each label,
+chosen by a hash of doc_id and text, so every label with ``LEAST_ROWS`` rows in
+the whole table and some trigram has a model, however rare it is. All other tables are grouped sums over every row, of the
 language that the text alone speaks for; sums are combined in each task, so a
 host with a third of all rows is no hot spot, and the tables are joined back by
 ``sized_join``.
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 
 from .common import materialize, packed, sized_join, sliced
 
-#: Labelled rows the trigram models are fitted on, and least rows per language.
+#: Rows of each label that its trigram model is fitted on (about), and least rows of a label in the table.
 SAMPLE_ROWS, LEAST_ROWS = 5000, 5
 #: Hash buckets of trigrams.
 BUCKETS = 1 << 15
@@ -46,6 +47,8 @@ EVIDENCE = 60
 SMOOTHING = 20.0
 #: Prior share of texts in no known language.
 UNKNOWN = 1e-3
+#: Tasks that count the sample's trigrams.
+COUNTING_TASKS = 32
 _BLOCK = 1 << 20
 
 
@@ -108,29 +111,38 @@ class Model:
 
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 11) -> Model:
-    """Trigram models from a random sample of about ``sample_rows`` rows of ``labelled`` (text, label), one task's worth."""
-    known = labelled.where("text is not null and label is not null")
-    rows = known.count()
-    sample = known.sample(min(1.0, 1.2 * sample_rows / max(1, rows)), seed).limit(sample_rows)
+    """Trigram models of all labels of ``labelled`` (text, label, and what else tells its rows apart).
+
+    Of a label with more rows, about 1.2 * ``sample_rows`` are chosen by their
+    hash; of repeated rows, which share it, one stands for all.
+    """
+    known = labelled.where("text is not null and label is not null").withColumn("key", F.xxhash64(*labelled.columns, F.lit(seed)))
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("key", 0.02).alias("different")).where(F.col("rows") >= LEAST_ROWS)
+    shares = [(r["label"], min(1.0, 1.2 * sample_rows / max(1, r["different"]))) for r in sizes.collect()]  # a row per language
+    if not shares:
+        return Model([], np.full((BUCKETS, 1), -math.log(BUCKETS), dtype=np.float32))
+    wanted = labelled.sparkSession.createDataFrame(shares, "label string, share double")
+    chosen = sized_join(known.select("text", "label", "key"), wanted, ["label"], "inner", rows=len(shares))
+    sample = chosen.where(F.expr("(key & 9007199254740991) / 9007199254740992D < share")).dropDuplicates(["label", "key"]).coalesce(COUNTING_TASKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        seen: dict[str, int] = {}
         for batch in sliced(batches, "text", _BLOCK):
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 into = sums.setdefault(label, np.zeros(BUCKETS, dtype=np.int64))
-                seen[label] = seen.get(label, 0) + 1
                 for piece in _pieces(text):
                     into += np.bincount(trigrams([piece])[0], minlength=BUCKETS)
-        yield pa.RecordBatch.from_pydict({"label": list(sums), "n": list(seen.values()), "counts": [x.tobytes() for x in sums.values()]}, schema=pa.schema([("label", pa.string()), ("n", pa.int64()), ("counts", pa.binary())]))
-
-    counts: dict[str, np.ndarray] = {}
-    seen: dict[str, int] = {}
-    # a row per language and task of the sample
-    for r in sample.select("text", "label").mapInArrow(count, "label string, n long, counts binary").collect():
-        counts[r["label"]] = counts.get(r["label"], 0) + np.frombuffer(r["counts"], dtype=np.int64)
-        seen[r["label"]] = seen.get(r["label"], 0) + r["n"]
-    languages = sorted(x for x in counts if seen[x] >= LEAST_ROWS)
+        for label, x in sums.items():
+            yield pa.RecordBatch.from_pydict({"label": [label], "counts": [x.tobytes()]}, schema=schema)
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, dtype=np.int64) for x in parts.column("counts").to_pylist())
+        return pa.Table.from_pydict({"label": parts.column("label")[:1], "counts": [total.tobytes()]}, schema=schema)
+
+    schema = pa.schema([("label", pa.string()), ("counts", pa.binary())])
+    summed = sample.select("text", "label").mapInArrow(count, "label string, counts binary").groupBy("label").applyInArrow(add, "label string, counts binary")
+    counts = {r["label"]: np.frombuffer(r["counts"], dtype=np.int64) for r in summed.collect()}  # a row per language
+    languages = sorted(x for x in counts if counts[x].any())
     table = np.full((BUCKETS, len(languages) + 1), -math.log(BUCKETS), dtype=np.float32)
     for k, x in enumerate(languages):
         table[:, k] = np.log((counts[x] + 0.02) / (counts[x].sum() + 0.02 * BUCKETS))
@@ -254,4 +266,4 @@ def drop_unidentified(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def labelled_documents(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("label"))
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("label"))
