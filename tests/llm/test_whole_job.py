@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from facturo.llm import common, langid
+from facturo.llm import common, langid, near_dedup
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +27,24 @@ def test_rare_label_has_a_model(session):
     kept = langid.drop_unidentified(docs.where("lang = 'zz'"), model)
     assert kept.count() == 8
     assert langid.fit(langid.labelled_documents(docs.limit(0))).languages == []
+
+
+def test_near_copies_with_a_repeated_passage(session):
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**9)}"
+    texts = []
+    for _ in range(100):
+        common_words, footer = [word() for _ in range(104)], [word() for _ in range(21)]
+        # plain similarity 0.8 or a little more: one text repeats its own footer 1000 times
+        texts += [" ".join(common_words), " ".join(common_words + footer[:3] + footer[3:] * 1000)]
+    digests, bands, sizes, bits = near_dedup.sketch(texts)
+    assert all(len(set(x)) == len(x) for x in bands)
+    similar = shared = allowed = 0
+    for i in range(0, len(texts), 2):
+        a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts[i : i + 2]))
+        similar += len(a & b) / len(a | b) >= 0.8
+        shared += bool(set(bands[i]) & set(bands[i + 1]))
+        allowed += sum(int(x).bit_count() for x in (bits[i] ^ bits[i + 1]).view("uint64")) <= 48
+    assert similar == shared == allowed == 100
+    found = near_dedup.mark_near_copies(session.createDataFrame(list(enumerate(texts[:20])), "doc_id long, text string")).collect()
+    assert all(x["class_id"] == x["doc_id"] // 2 * 2 and x["class_size"] == 2 for x in found)
