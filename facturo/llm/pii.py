@@ -40,9 +40,11 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: An identifier-like token: eight signs or more, with a digit.
+#: An identifier-like token: a run with a digit that ends in a letter or digit; signs behind it do not belong to it.
 ADDED = "id"
-CANDIDATE = r"(?<![A-Za-z0-9_@=/+.:%-])(?=[A-Za-z_@=/+.:%-]{0,64}[0-9])[A-Za-z0-9_@=/+.:%-]{7,}+(?<=[A-Za-z0-9])"
+CANDIDATE = r"(?<![A-Za-z0-9_@=/+.:%-])(?=[A-Za-z0-9_@=/+.:%-]{7})(?=[A-Za-z_@=/+.:%-]*+[0-9])[_@=/+.:%-]*+[A-Za-z0-9]++(?:[_@=/+.:%-]++[A-Za-z0-9]++)*+"
+#: Signs a candidate needs.
+CANDIDATE_LENGTH = 7
 #: Digits a candidate needs.
 CANDIDATE_DIGITS = 3
 ROUNDS = 3
@@ -70,7 +72,7 @@ def _passes(kind: Column, match: Column) -> Column:
         .when(kind == "ip", F.forall(F.split(match, r"\."), part))
         .when(kind == "card", F.when(n.between(12, 19), _luhn(match)).otherwise(False))
         .when(kind == "phone", n.between(9, 15))
-        .otherwise(n >= CANDIDATE_DIGITS)
+        .otherwise((n >= CANDIDATE_DIGITS) & (F.length(match) >= CANDIDATE_LENGTH))
     )
 
 
@@ -79,8 +81,9 @@ def _found(kind: str, pattern: str, text: Column, gate: Column) -> list[Column]:
     matches = F.when(gate, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     stretch = lambda p: F.struct(
         F.length(p).alias("len"),
-        F.lower(F.regexp_extract(F.right(p, F.lit(80)), r"([^\s]+)\s*$", 1)).alias("tail"),
-        F.lower(F.regexp_extract(F.left(p, F.lit(80)), r"^\s*([^\s]+)", 1)).alias("head"),
+        # from the end backwards, so a long stretch is not searched
+        F.lower(F.reverse(F.regexp_extract(F.reverse(p), r"\A\s*+(\S++)", 1))).alias("tail"),
+        F.lower(F.regexp_extract(p, r"\A\s*+(\S++)", 1)).alias("head"),
     )
     stretches = F.when(gate, F.transform(F.split(text, pattern, -1), stretch))
     return [matches.alias(f"{kind}_m"), stretches.alias(f"{kind}_p")]

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from facturo.llm import common, langid, near_dedup
+from facturo.llm import common, langid, near_dedup, pii
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +48,18 @@ def test_near_copies_with_a_repeated_passage(session):
     assert similar == shared == allowed == 100
     found = near_dedup.mark_near_copies(session.createDataFrame(list(enumerate(texts[:20])), "doc_id long, text string")).collect()
     assert all(x["class_id"] == x["doc_id"] // 2 * 2 and x["class_size"] == 2 for x in found)
+
+
+def test_identifiers_before_punctuation_and_far_context(session):
+    far, word = " " * 200, "long" * 50
+    # eight known mails stand in each context, and so does an identifier followed by a sign
+    texts = [f"my id is user{i}@mail.example . Then" for i in range(8)] + ["my id is AB-1234567. Then", "my id is AB-7654321: x", "my id is ._AB-1111111... Then", f"{'q-' * 70}AB12345 here"]
+    texts += [f"{word}{far}user{i}@far.example{far}{word}" for i in range(8)] + [f"{word}{far}CD-1234567{far}{word}"]
+    texts += ["- " * 50 + "-" * 50000 + "a-" * 50000 + "1"]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, spans = pii.found_spans(docs)
+    found = {(r["match"], r["start"]): r for r in rows.join(spans, "at").where("kind = 'id' and length(match) < 200 and match not like '%@%'").collect()}
+    assert set(found) == {("AB-1234567", 9), ("AB-7654321", 9), ("._AB-1111111", 9), ("q-" * 70 + "AB12345", 0), ("CD-1234567", 400)}
+    assert (found["AB-1234567", 9]["tail"], found["AB-1234567", 9]["head"]) == ("is", ".")
+    assert (found["CD-1234567", 400]["tail"], found["CD-1234567", 400]["head"]) == (word, word)
+    assert pii.candidates(spans).where("match = 'AB-1234567'").count() == 1
