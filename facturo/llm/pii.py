@@ -5,13 +5,13 @@ pass a check; a match that fails is dropped. They are the seeds of the
 bootstrap: the word before and the word after a seed are lexical patterns, and
 so are those of every candidate, a token that looks like an identifier and
 overlaps no base span. Patterns and instances (span texts) form a graph that
-is scored in rounds:
+is scored in rounds, until no pattern and no instance is added and the scores settle:
 
 - a pattern's confidence is the summed confidence of its distinct instances
   over their number plus one, and it counts only with ``SUPPORT`` confident
   instances and ``PATTERN_CONFIDENCE``;
 - a candidate's confidence is the chance that not all of its patterns are
-  wrong, each trusted by half; seeds keep confidence one.
+  wrong, so one trusted pattern suffices; seeds keep confidence one.
 
 Candidates that end at ``INSTANCE_CONFIDENCE`` are added as spans of kind
 ``id`` wherever they stand. Only seeds, candidates and their two neighbouring
@@ -47,7 +47,8 @@ CANDIDATE = r"(?<![A-Za-z0-9_@=/+.:%-])(?=[A-Za-z0-9_@=/+.:%-]{7})(?=[A-Za-z_@=/
 CANDIDATE_LENGTH = 7
 #: Digits a candidate needs.
 CANDIDATE_DIGITS = 3
-ROUNDS = 3
+#: Scores are settled when their sum grows by less than this share in a round.
+SETTLED = 1e-4
 SUPPORT, PATTERN_CONFIDENCE, INSTANCE_CONFIDENCE = 5, 0.6, 0.5
 
 
@@ -136,7 +137,7 @@ def candidates(spans: DataFrame) -> DataFrame:
     return marked.where((F.col("kind") == ADDED) & free).drop("before", "after")
 
 
-def trusted_instances(seeds: DataFrame, others: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def trusted_instances(seeds: DataFrame, others: DataFrame) -> DataFrame:
     """(match, confidence) of the candidate texts that the pattern graph trusts.
 
     ``seeds`` and ``others``: spans with match, tail and head.
@@ -149,16 +150,21 @@ def trusted_instances(seeds: DataFrame, others: DataFrame, rounds: int = ROUNDS)
 
     graph = edges(seeds, True).unionAll(edges(others, False)).groupBy("match", "side", "word").agg(F.bool_or("seed").alias("seed"))
     graph = materialize(graph, spark, "pattern-graph")
-    scores = None
-    for _ in range(rounds):
+    scores, before = None, (0, 0, 0.0)
+    while True:
         known = graph if scores is None else sized_join(graph, scores, ["match"])
         confidence = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("confidence", F.lit(0.0)) if scores is not None else F.lit(0.0))
         rated = known.withColumn("c", confidence).groupBy("side", "word").agg((F.sum("c") / (F.count(F.lit(1)) + 1)).alias("trust"), F.sum(F.when(F.col("c") >= INSTANCE_CONFIDENCE, 1).otherwise(0)).alias("support"))
-        good = rated.where((F.col("trust") >= PATTERN_CONFIDENCE) & (F.col("support") >= SUPPORT)).select("side", "word", "trust")
-        rated_candidates = sized_join(graph.where(~F.col("seed")), good, ["side", "word"], "inner")
-        scores = rated_candidates.groupBy("match").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust") / 2)))).alias("confidence"))
+        good = materialize(rated.where((F.col("trust") >= PATTERN_CONFIDENCE) & (F.col("support") >= SUPPORT)).select("side", "word", "trust"), spark, "trusted-patterns")
+        patterns = good.count()
+        rated_candidates = sized_join(graph.where(~F.col("seed")), good, ["side", "word"], "inner", rows=patterns)
+        scores = rated_candidates.groupBy("match").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("confidence"))
         scores = materialize(scores, spark, "instances")
-    return scores.where(F.col("confidence") >= INSTANCE_CONFIDENCE)
+        sums = scores.where(F.col("confidence") >= INSTANCE_CONFIDENCE).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("confidence"), F.lit(0.0)).alias("total")).first()
+        # no score ever falls, so the rounds end
+        if patterns <= before[0] and sums["n"] <= before[1] and sums["total"] <= before[2] * (1 + SETTLED):
+            return scores.where(F.col("confidence") >= INSTANCE_CONFIDENCE)
+        before = (patterns, sums["n"], sums["total"])
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -63,3 +63,17 @@ def test_identifiers_before_punctuation_and_far_context(session):
     assert (found["AB-1234567", 9]["tail"], found["AB-1234567", 9]["head"]) == ("is", ".")
     assert (found["CD-1234567", 400]["tail"], found["CD-1234567", 400]["head"]) == (word, word)
     assert pii.candidates(spans).where("match = 'AB-1234567'").count() == 1
+
+
+def test_one_sided_contexts_and_late_instances(session):
+    texts = [f"please write to user{i}@mail.example" for i in range(9)] + ["please write to QX77-81923-ZZ", "never seen QX88-81923-ZZ"]
+    # identifiers of level k stand in the contexts of levels k and k + 1, so level 4 is reached in round 4
+    sizes = [400, 100, 30, 12, 1]
+    for k, n in enumerate(sizes):
+        held = [f"user{i}@far.example" if k == 0 else f"K{k}-{i:05}-QQ" for i in range(n)]
+        texts += [f"x{c} {m} y{c}" for m in held for c in (k, k + 1)]
+    found = pii.personal_data(session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    ids = {s["match"] for r in found for s in r["spans"] if s["kind"] == "id"}
+    assert "QX77-81923-ZZ" in ids
+    assert "QX88-81923-ZZ" not in ids
+    assert {x for x in ids if x.startswith("K")} == {f"K{k}-{i:05}-QQ" for k, n in enumerate(sizes) if k for i in range(n)}
