@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, langid, licences, near_dedup, packing, pii, token_store, url_filter, warc
+from . import byte_bpe, decontaminate, exact_dedup, filter_audit, langid, licences, near_dedup, packing, pii, token_store, url_filter, vector_codes, warc
 from .common import prepare, read_table
 from .tokens import default_tokenizer
 
@@ -72,6 +72,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(read_table(spark, sf_dir, "documents")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.token_digests(read_table(spark, sf_dir, "documents"))
+
+
 _BLANKS = r"[\x20\x09-\x0D]+"
 _SQL = {
     "op2_licence_scan": licences.licence_sql(),
@@ -89,11 +101,13 @@ select page_id, payload_bytes::bigint as payload_bytes, sha1(d.html) as payload_
        case when first_id <> page_id then first_id end as refers_to
 from d left join f on d.html = f.html
 """,
+    "op11_vector_codes": vector_codes.oracle_sql(),
+    "op12_filter_audit": filter_audit.oracle_sql(),
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = [op1_token_ids, op2_licence_scan, op3_exact_dedup, op4_language_id, op5_warc, op6_decontaminate, op7_near_dedup, op8_url_filter, op9_packing, op10_personal_data]
+    every = [op1_token_ids, op2_licence_scan, op3_exact_dedup, op4_language_id, op5_warc, op6_decontaminate, op7_near_dedup, op8_url_filter, op9_packing, op10_personal_data, op11_vector_codes, op12_filter_audit, op13_byte_bpe]
 
     def wrap(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: f(prepare(spark), sf_dir)
