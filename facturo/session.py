@@ -11,8 +11,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -111,10 +114,89 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+# Where each written table that is still referenced lies, and the open scopes, innermost last.
+_TABLES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_SCOPES: list[ScratchScope] = []
+
+
+class ScratchScope:
+    """The scratch paths made since it was opened, unless an inner scope owns them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Hand a written table to the scope around this one, or, without one, to the session."""
+        path = _TABLES.get(df)
+        if path in self.paths:
+            self.paths.remove(path)
+            outer = _SCOPES[: _SCOPES.index(self)] if self in _SCOPES else []
+            if outer:
+                outer[-1].paths.append(path)
+        return df
+
+    def clear(self, unless_read_by: DataFrame | None = None) -> None:
+        """Delete the paths, but for those that a plan still reads."""
+        read = unless_read_by.inputFiles() if unless_read_by is not None and self.paths else []
+        held = [p for p in self.paths if any(f"{p}/" in f for f in read)]
+        _delete(self.spark, [p for p in self.paths if p not in held])
+        self.paths[:] = held
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[ScratchScope]:
+    """Tables written inside are deleted at the end, but for those given to ``keep``; what reads them must be written by then."""
+    scope = ScratchScope(spark)
+    with collected_scratch(scope):
+        yield scope
+    scope.clear()
+
+
+@contextmanager
+def collected_scratch(scope: ScratchScope) -> Iterator[ScratchScope]:
+    """While open, scratch paths are noted in ``scope``, which is cleared by the caller."""
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES.remove(scope)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete paths on whatever store they are; remote sessions, which have no JVM here, leave them to the cluster."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001
+        return
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that materialize() wrote and that nothing reads any more."""
+    for df in frames:
+        path = _TABLES.pop(df, None)
+        if path:
+            _delete(df.sparkSession, [path])
+            for scope in _SCOPES:
+                if path in scope.paths:
+                    scope.paths.remove(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder; it is deleted with its scope, or when the session's process ends."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "facturo", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base, "facturo", f"{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no JVM here
+        pass
+    return path
 
 
 def materialize(df, spark: SparkSession, name: str):
@@ -127,4 +209,6 @@ def materialize(df, spark: SparkSession, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     # Read with the written schema: no inference job, and empty input reads back empty.
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _TABLES[out] = path
+    return out
