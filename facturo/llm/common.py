@@ -11,12 +11,13 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from facturo.session import ensure_checkpoint_dir, materialize, scratch_path
+from facturo.session import ScratchScope, collected_scratch, discard, ensure_checkpoint_dir, materialize, scratch_path, scratch_scope
 
-__all__ = ["materialize", "open_input", "packed", "prepare", "scratch_path", "sized_join", "sliced", "small_enough", "unpacked", "write_bytes"]
+__all__ = ["ScratchScope", "collected_scratch", "discard", "materialize", "open_input", "packed", "prepare", "scratch_path", "scratch_scope", "sized_join", "sliced", "small_enough", "unpacked", "write_bytes"]
 
 #: Rows that a broadcast side may have. At the widths used here (under 100
 #: bytes a row) that is under 20 MB; larger sides take the shuffled way.
@@ -60,15 +61,23 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left
     ``how`` is left, inner, left_semi or left_anti. The salt deals a hot key
     of ``big`` over ``JOIN_SALTS`` parts; ``small``, which has one row a key,
     is copied that many times. ``rows``: an upper bound of its rows that is
-    already known, so that they need no counting.
+    already known, so that they need no counting. The salt is a hash of the
+    row, so a task that runs again deals its rows alike.
     """
     if rows <= max_rows if rows is not None else small_enough(small, max_rows):
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", (F.rand(7) * JOIN_SALTS).cast("int"))
+    salted = big.withColumn("_salt", _salt(big))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def _salt(rows: DataFrame) -> Column:
+    """A number below JOIN_SALTS from the plain columns of a row, or from all that can be hashed if it has no other."""
+    plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    nested = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(F.lit(7), *[F.col(f"`{c}`") for c in plain or nested]), F.lit(JOIN_SALTS)).cast("int")
+
+
 def write_bytes(folder: str, name: str, parts: list[bytes]) -> str:
     """Write one file into a shared folder (a path or URI that pyarrow knows); returns its URI. Runs inside tasks."""
     from pyarrow import fs

@@ -55,7 +55,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_dedup.mark_near_copies(read_table(spark, sf_dir, "documents"))
+    found = near_dedup.mark_near_copies(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "class_id", "class_size", "kept")
 
 
