@@ -165,13 +165,12 @@ def collected_scratch(scope: ScratchScope) -> Iterator[ScratchScope]:
 
 def _delete(spark: SparkSession, paths: list[str]) -> None:
     """Delete paths on whatever store they are; remote sessions, which have no JVM here, leave them to the cluster."""
-    try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # noqa: BLE001
-        return
     for path in paths:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+        try:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001 - scratch that can't be deleted is no reason to fail
+            return
 
 
 def discard(*frames: DataFrame) -> None:
