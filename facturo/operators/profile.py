@@ -21,7 +21,7 @@ from facturo.functions import (
     rounded_percent,
 )
 from facturo.operators.ordering import EXPAND_CHUNK, chunk_counts, expand_chunks, top_k
-from facturo.operators.quantiles import exact_quantiles, value_counts
+from facturo.operators.quantiles import exact_quantiles
 from facturo.schema import (
     COUNTRY,
     CUSTOMER_ID,
@@ -137,55 +137,43 @@ def profile_cardinality(raw: DataFrame, columns: list[str] | None = None, approx
 def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per numeric column (long form).
 
-    One scan: the columns become (column, value) pairs, counted per distinct
-    value (partial aggregation folds repeated values map-side). Everything
-    comes from that count table: count, min, max and the mean from weighted
-    sums, the std by a second, numerically stable pass over the distinct
-    values (sum of w * (v - mean)^2), the quartiles from exact ranks. Mean,
-    std and quartiles are rounded to 6 places (the last bit of a floating sum
-    or interpolation differs between engines). Every column keeps its row,
-    even when it has no value.
+    The columns become (column, value) pairs. One aggregate gives count, mean,
+    std (a numerically stable moment), min and max; the quartiles come from
+    histogram rounds over the same pairs (``quantiles.select_ranks``), so no
+    value is shuffled, sorted or written. NaN is no value. Mean, std and
+    quartiles are rounded to 6 places (the last bit of a floating sum or
+    interpolation differs between engines). Every column keeps its row, even
+    when it has no value.
     """
     columns = columns or [QUANTITY, PRICE]
     long = df.select(
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
         )
-    )
-    counts = value_counts(long, "value", group="column")
-    # A zero-weight row per column (names only) keeps empty columns present.
-    names = df.sparkSession.createDataFrame([(c, None, 0) for c in columns], "column string, value double, _w long")
+    ).withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+    # A row without value per column (names only) keeps empty columns present.
+    names = df.sparkSession.createDataFrame([(c, None) for c in columns], "column string, value double")
     first = (
-        counts.unionByName(names)
+        long.unionByName(names)
         .groupBy("column")
         .agg(
-            F.sum("_w").cast("long").alias("count"),
-            F.try_divide(F.sum(F.col("_w") * F.col("value")), F.sum("_w").cast("double")).alias("_mean"),
+            F.count("value").cast("long").alias("count"),
+            F.avg("value").alias("_mean"),
+            F.stddev_samp("value").alias("_std"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         )
     )
-    # ``first`` and ``quartiles`` hold one row per profiled column: a proven
-    # bound, so both are broadcast into the joins below.
-    spread = (
-        counts.join(F.broadcast(first.select("column", "_mean")), "column")
-        .groupBy("column")
-        .agg(F.sum(F.col("_w") * F.pow(F.col("value") - F.col("_mean"), 2)).alias("_m2"))
-    )
-    quartiles = exact_quantiles(counts, "value", DESCRIBE_PROBS, DESCRIBE_NAMES, group="column", counted=True)
-    std = F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - 1)))
-    return (
-        first.join(F.broadcast(spread), "column", "left")
-        .join(F.broadcast(quartiles), "column", "left")
-        .select(
-            "column",
-            "count",
-            F.round("_mean", STAT_DECIMALS).alias("mean"),
-            F.round(std, STAT_DECIMALS).alias("std"),
-            "min",
-            *[F.round(q, STAT_DECIMALS).alias(q) for q in DESCRIBE_NAMES],
-            "max",
-        )
+    # one row per profiled column: a proven bound
+    quartiles = exact_quantiles(long, "value", DESCRIBE_PROBS, DESCRIBE_NAMES, group="column")
+    return first.join(F.broadcast(quartiles), "column", "left").select(
+        "column",
+        "count",
+        F.round("_mean", STAT_DECIMALS).alias("mean"),
+        F.round("_std", STAT_DECIMALS).alias("std"),
+        "min",
+        *[F.round(q, STAT_DECIMALS).alias(q) for q in DESCRIBE_NAMES],
+        "max",
     )
 
 

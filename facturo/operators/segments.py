@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facturo.functions import as_money_double
-from facturo.operators.quantiles import exact_quantiles, lower_rank, order_statistics, rank_intervals
+from facturo.operators.quantiles import exact_quantiles, lower_rank, order_statistics, select_ranks
 from facturo.schema import CUSTOMER_ID, TOTAL_PRICE
+from facturo.session import materialize
 
 # Tier labels, from lowest to highest spend.
 TIER_LOW, TIER_MID, TIER_HIGH = "Bajo", "Medio", "Alto"
@@ -32,6 +33,11 @@ def customer_spend(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
     return valid.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(TOTAL_PRICE).alias("_spend"))
 
 
+def _written_spend(valid: DataFrame, key: str) -> DataFrame:
+    """The spend per customer, written once: the rounds that find the cuts and the labels read it."""
+    return materialize(customer_spend(valid, key=key), valid.sparkSession, "customer-spend")
+
+
 def customer_tiers(valid: DataFrame, *, key: str = CUSTOMER_ID, approx: bool = False) -> DataFrame:
     """One row per known customer: id, spend (double) and tier label.
 
@@ -39,7 +45,7 @@ def customer_tiers(valid: DataFrame, *, key: str = CUSTOMER_ID, approx: bool = F
     memory per task, rank error about 1/10000 of the customers) instead of
     the exact order statistics.
     """
-    spend = customer_spend(valid, key=key)
+    spend = customer_spend(valid, key=key) if approx else _written_spend(valid, key)
     if approx:
         cuts = spend.agg(
             F.percentile_approx("_spend", TIER_PROBS, APPROX_ACCURACY).alias("_q")
@@ -61,7 +67,7 @@ def tier_cuts(valid: DataFrame, *, key: str = CUSTOMER_ID) -> DataFrame:
     Rounded to 6 places: the interpolation's last bit differs between engines.
     Tier labels never depend on that rounding (see ``customer_tiers``).
     """
-    spend = customer_spend(valid, key=key).select(as_money_double("_spend").alias("_spend"))
+    spend = _written_spend(valid, key).select(as_money_double("_spend").alias("_spend"))
     cuts = exact_quantiles(spend, "_spend", TIER_PROBS, ["_low", "_high"])
     return cuts.select(
         F.round("_low", CUT_DECIMALS).alias("cut_low"), F.round("_high", CUT_DECIMALS).alias("cut_high")
@@ -76,27 +82,14 @@ def tier_counts(valid: DataFrame, *, key: str = CUSTOMER_ID, approx: bool = Fals
     """Customers per tier, ordered low, medium, high (tiers without customers omitted).
 
     Exact path without labelling each customer: the customers at or below a
-    cut value v are exactly the ranks below the end of v's rank interval, so
-    one aggregate over the rank intervals gives all three counts.
+    cut value v are exactly the ranks below the end of v's rank interval.
     """
     if approx:
         tiers = customer_tiers(valid, key=key, approx=True)
         return tiers.groupBy(TIER).agg(F.count(F.lit(1)).alias("count")).orderBy(tier_rank())
-    intervals = rank_intervals(customer_spend(valid, key=key), "_spend")
-    ends = []
-    for i, p in enumerate(TIER_PROBS):
-        rank = lower_rank(p)
-        ends.append(F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_end"))).alias(f"_e{i}"))
-    cut = intervals.agg(*ends, F.max("_n").alias("_n"))
-    counts = F.array(
-        F.struct(F.lit(TIER_LOW).alias(TIER), F.col("_e0").alias("count")),
-        F.struct(F.lit(TIER_MID).alias(TIER), (F.col("_e1") - F.col("_e0")).alias("count")),
-        F.struct(F.lit(TIER_HIGH).alias(TIER), (F.col("_n") - F.col("_e1")).alias("count")),
-    )
-    return (
-        cut.filter(F.col("_n").isNotNull())
-        .select(F.inline(counts))
-        .filter(F.col("count") > 0)
-        .select(TIER, F.col("count").cast("long").alias("count"))
-        .orderBy(tier_rank())
-    )
+    found = select_ranks(_written_spend(valid, key), "_spend", lambda n: [lower_rank(p, n) for p in TIER_PROBS])
+    rows = []
+    for n, ranks in found.values():
+        ends = [0, *[ranks[lower_rank(p, n)].end for p in TIER_PROBS], n]
+        rows = [(tier, b - a) for tier, a, b in zip([TIER_LOW, TIER_MID, TIER_HIGH], ends, ends[1:]) if b > a]
+    return valid.sparkSession.createDataFrame(rows, f"{TIER} string, count long").orderBy(tier_rank())
