@@ -17,6 +17,7 @@ from facturo.functions.columns import (
     rounded_percent,
     strip_blanks,
     whole_number_text,
+    without_total,
     word_tokens,
 )
 
@@ -33,5 +34,6 @@ __all__ = [
     "rounded_percent",
     "strip_blanks",
     "whole_number_text",
+    "without_total",
     "word_tokens",
 ]

@@ -21,8 +21,19 @@ def _col(c: str | Column) -> Column:
 
 
 def line_total(quantity: str | Column, price: str | Column) -> Column:
-    """Quantity x price in exact decimal arithmetic (decimal(27,4)); null if a factor is NaN or does not fit."""
-    return _col(quantity).try_cast(QUANTITY_DECIMAL) * _col(price).try_cast(PRICE_DECIMAL)
+    """Quantity x price in exact decimal arithmetic (decimal(32,8)).
+
+    Null if a factor is null, NaN or out of range, or if a price that is not
+    zero is too small to be told from it; ``without_total`` finds such lines,
+    and the valid-sales filter leaves them out.
+    """
+    exact = _col(price).try_cast(PRICE_DECIMAL)
+    return F.when((_col(price) == 0) | (exact != 0), _col(quantity).try_cast(QUANTITY_DECIMAL) * exact)
+
+
+def without_total(quantity: str | Column, price: str | Column) -> Column:
+    """True for a line that has a quantity and a price, but whose total can't be held exactly."""
+    return _col(quantity).isNotNull() & _col(price).isNotNull() & line_total(quantity, price).isNull()
 
 
 def as_money_double(c: str | Column) -> Column:

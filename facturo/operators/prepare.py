@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facturo.functions import is_cancelled, line_total, parse_timestamp
+from facturo.functions import as_money_double, is_cancelled, line_total, parse_timestamp, without_total
 from facturo.schema import (
     DESCRIPTION,
     INVOICE,
@@ -63,15 +63,42 @@ def derive_columns(
     )
 
 
-def valid_predicate(quantity: str = QUANTITY, price: str = PRICE, cancelled: str = IS_CANCELLED):
+def sale_predicate(quantity: str = QUANTITY, price: str = PRICE, cancelled: str = IS_CANCELLED):
     return (F.col(quantity) > 0) & (F.col(price) > 0) & ~F.col(cancelled)
 
 
+def valid_predicate(
+    quantity: str = QUANTITY, price: str = PRICE, cancelled: str = IS_CANCELLED, total: str = TOTAL_PRICE
+):
+    return sale_predicate(quantity, price, cancelled) & F.col(total).isNotNull()
+
+
 def valid_rows(
-    df: DataFrame, *, quantity: str = QUANTITY, price: str = PRICE, cancelled: str = IS_CANCELLED
+    df: DataFrame,
+    *,
+    quantity: str = QUANTITY,
+    price: str = PRICE,
+    cancelled: str = IS_CANCELLED,
+    total: str = TOTAL_PRICE,
 ) -> DataFrame:
-    """Q4: positive quantity and price, not cancelled (a null flag drops the row)."""
-    return df.filter(valid_predicate(quantity, price, cancelled))
+    """Q4: positive quantity and price, not cancelled (a null flag drops the row).
+
+    A line whose total can't be held exactly is no valid sale either: it
+    would count as an invoice without revenue. ``money_rejects`` reports such lines.
+    """
+    return df.filter(valid_predicate(quantity, price, cancelled, total))
+
+
+def money_rejects(
+    derived: DataFrame, *, quantity: str = QUANTITY, price: str = PRICE, cancelled: str = IS_CANCELLED, total: str = TOTAL_PRICE
+) -> DataFrame:
+    """Sales by sign, those of them without an exact total, and the exact revenue of the others: one row."""
+    sale = sale_predicate(quantity, price, cancelled)
+    return derived.agg(
+        F.count_if(sale).cast("long").alias("sales"),
+        F.count_if(sale & without_total(quantity, price)).cast("long").alias("rejected"),
+        as_money_double(F.sum(F.when(sale, F.col(total)))).alias("revenue"),
+    )
 
 
 def prepared_stages(raw: DataFrame) -> dict[str, DataFrame]:
@@ -94,7 +121,7 @@ def stage_counts(raw: DataFrame, *, invoice: str = INVOICE, quantity: str = QUAN
     cols = raw.columns
     groups = raw.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     is_clean = clean_predicate(price=price)
-    is_valid = is_clean & (F.col(quantity) > 0) & ~is_cancelled(invoice)
+    is_valid = is_clean & (F.col(quantity) > 0) & ~is_cancelled(invoice) & line_total(quantity, price).isNotNull()
     counts = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows_raw"),
         F.coalesce(F.sum(F.when(is_clean, F.col("_n")).otherwise(F.lit(0))), F.lit(0)).cast("long").alias("rows_clean"),

@@ -20,9 +20,13 @@ from facturo.plans.workload import build_stages, materialize_stages
 from facturo.schema import RAW_COLUMNS
 from facturo.session import scratch_path
 from facturo.sources import files
+from facturo.sources.bound import scan_csv_bound
 from facturo.sources.fixture import FIXTURE_TABLES, RAW_SQL, invoice_lines, table_path
 from facturo.sources.zones import Zones, text_jobs_from_inputs, write_text_inputs
 
+# Price factors by the last digit of a product code, for the money report: two that fit and two that can't.
+MONEY_FACTORS = {"1": 1e7, "2": 1e-6, "3": 1e12, "4": 1e-13}
+
 Query = Callable[[SparkSession, str], DataFrame]
 RawQuery = Callable[[SparkSession, DataFrame], DataFrame]
 
@@ -45,6 +49,45 @@ def _scan_csv_typed(spark: SparkSession, raw: DataFrame) -> DataFrame:
     return files.scan_csv_typed(spark, path)
 
 
+def _text_lines_with_dirt(raw: DataFrame) -> DataFrame:
+    """Raw lines as text; the quantity of every product whose code ends in 7 is no number."""
+    bad = F.col("StockCode").endswith("7")
+    return raw.select(
+        *[(F.when(bad, "n/a").otherwise(F.col(c).cast("string")).alias(c) if c == "Quantity" else F.col(c).cast("string")) for c in RAW_COLUMNS]
+    )
+
+
+def _csv_in_two_orders(spark: SparkSession, raw: DataFrame):
+    """The lines in two folders: one in the usual column order, one reversed and with a further column."""
+    path, lines = scratch_path(spark, "raw-csv"), _text_lines_with_dirt(raw)
+    first = F.col("Country") < "J"
+    files.write_csv(lines.where(first), f"{path}/usual")
+    files.write_csv(lines.where(~first).select(F.lit("x, y").alias("Note"), *reversed(RAW_COLUMNS)), f"{path}/reversed")
+    return scan_csv_bound(spark, [f"{path}/usual", f"{path}/reversed"])
+
+
+def _csv_bound_rows(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    return _csv_in_two_orders(spark, raw).rows
+
+
+def _csv_reject_counts(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Lines that were set aside, by the folder that they stand in, and how many of those name the bad quantity."""
+    rejects = _csv_in_two_orders(spark, raw).rejects
+    folder = F.regexp_extract("file", "/(usual|reversed)/", 1)
+    return rejects.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).cast("long").alias("rejected"), F.count_if(F.col("line").contains("n/a")).cast("long").alias("bad_quantity")
+    )
+
+
+def _money_extremes(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Money report over prices from 10^-10 to 10^15, made from the last digit of the product code."""
+    digit = F.substring("StockCode", -1, 1)
+    price = F.col("Price")
+    for last, factor in MONEY_FACTORS.items():
+        price = F.when(digit == last, F.col("Price") * F.lit(factor)).otherwise(price)
+    return prepare.money_rejects(build_stages(raw.withColumn("Price", price)).derived)
+
+
 def _scan_pairs(spark: SparkSession, raw: DataFrame) -> DataFrame:
     path = scratch_path(spark, "pairs")
     files.write_pairs(text.customer_quantity_pairs(raw), path)
@@ -143,6 +186,9 @@ def raw_queries() -> dict[str, RawQuery]:
     return {
         # sources and sinks
         "scan_csv_typed": _scan_csv_typed,
+        "csv_bound_rows": _csv_bound_rows,
+        "csv_reject_counts": _csv_reject_counts,
+        "money_extremes": _money_extremes,
         "scan_pairs": _scan_pairs,
         "result_roundtrip": _result_roundtrip,
         "result_overwrite": _result_overwrite,
@@ -206,7 +252,7 @@ derived AS (
   SELECT "Invoice", "StockCode", "Description", "Quantity",
          TRY_CAST("InvoiceDate" AS TIMESTAMP) AS "InvoiceDate",
          "Price", "Customer ID", "Country",
-         CAST(CAST("Quantity" AS DECIMAL(12,0)) * CAST("Price" AS DECIMAL(14,4)) AS DECIMAL(27,4)) AS "TotalPrice",
+         CAST(CAST("Quantity" AS DECIMAL(10,0)) * CAST("Price" AS DECIMAL(21,8)) AS DECIMAL(32,8)) AS "TotalPrice",
          starts_with("Invoice", 'C') AS "IsCancelled",
          CAST(year(TRY_CAST("InvoiceDate" AS TIMESTAMP)) AS INTEGER) AS "Year",
          CAST(month(TRY_CAST("InvoiceDate" AS TIMESTAMP)) AS INTEGER) AS "Month"
@@ -279,6 +325,22 @@ def oracle_sql(raw_ctes: str = RAW_SQL) -> dict[str, str]:
             f"NULLIF({_q(c)}, '') AS {_q(c)}" if _RAW_TYPES[c] == "string" else _q(c) for c in RAW_COLUMNS
         )
         + " FROM raw",
+        "csv_bound_rows": "SELECT "
+        + ", ".join(
+            f"NULLIF({_q(c)}, '') AS {_q(c)}" if _RAW_TYPES[c] == "string" else _q(c) for c in RAW_COLUMNS
+        )
+        + """ FROM raw WHERE "StockCode" NOT LIKE '%7' OR "StockCode" IS NULL""",
+        "csv_reject_counts": """
+SELECT CASE WHEN "Country" < 'J' THEN 'usual' ELSE 'reversed' END AS folder, count(*) AS rejected, count(*) AS bad_quantity
+FROM raw WHERE "StockCode" LIKE '%7' GROUP BY ALL""",
+        "money_extremes": f"""
+SELECT count(*) AS sales, count(*) FILTER (WHERE NOT fits) AS rejected,
+       CAST(sum("Quantity" * CASE WHEN fits THEN CAST(CAST("Price" AS VARCHAR) AS DECIMAL(21,8)) END) AS DOUBLE) AS revenue
+FROM (SELECT *, "Price" < 1e13 AND "Price" >= 5e-9 AS fits
+      FROM (SELECT DISTINCT * FROM (
+              SELECT * REPLACE (CASE right("StockCode", 1) {" ".join(f"WHEN '{d}' THEN \"Price\" * {f!r}::DOUBLE" for d, f in MONEY_FACTORS.items())} ELSE "Price" END AS "Price") FROM raw)
+            WHERE "Description" IS NOT NULL AND "Price" > 0)
+      WHERE "Quantity" > 0 AND "Invoice" NOT LIKE 'C%')""",
         "scan_pairs": "SELECT * FROM pairs",
         "result_roundtrip": "SELECT * FROM derived",
         "result_overwrite": "SELECT * FROM derived",
@@ -401,16 +463,16 @@ SELECT "Description", CAST(sum("Quantity") AS BIGINT) AS "Quantity" FROM raw
 WHERE "Description" IS NOT NULL
 GROUP BY "Description" ORDER BY sum("Quantity") DESC NULLS LAST, "Description" ASC {top10}""",
         "raw_top_customers": f"""
-SELECT "Customer ID", CAST(sum(CAST("Quantity" AS DECIMAL(12,0)) * CAST("Price" AS DECIMAL(14,4))) AS DOUBLE) AS "Revenue"
+SELECT "Customer ID", CAST(sum(CAST("Quantity" AS DECIMAL(10,0)) * CAST("Price" AS DECIMAL(21,8))) AS DOUBLE) AS "Revenue"
 FROM raw WHERE "Customer ID" IS NOT NULL
 GROUP BY "Customer ID"
-ORDER BY sum(CAST("Quantity" AS DECIMAL(12,0)) * CAST("Price" AS DECIMAL(14,4))) DESC NULLS LAST, "Customer ID" ASC {top10}""",
+ORDER BY sum(CAST("Quantity" AS DECIMAL(10,0)) * CAST("Price" AS DECIMAL(21,8))) DESC NULLS LAST, "Customer ID" ASC {top10}""",
         "gross_revenue": """
-SELECT CAST(sum(CAST("Quantity" AS DECIMAL(12,0)) * CAST("Price" AS DECIMAL(14,4))) FILTER (WHERE "Quantity" > 0) AS DOUBLE)
+SELECT CAST(sum(CAST("Quantity" AS DECIMAL(10,0)) * CAST("Price" AS DECIMAL(21,8))) FILTER (WHERE "Quantity" > 0) AS DOUBLE)
   AS gross_revenue FROM raw""",
         "mean_invoice_value": """
 SELECT CAST(sum(total) AS DOUBLE) / NULLIF(CAST(count(total) AS DOUBLE), 0) AS mean_invoice_value
-FROM (SELECT "Invoice", sum(CAST("Quantity" AS DECIMAL(12,0)) * CAST("Price" AS DECIMAL(14,4))) AS total
+FROM (SELECT "Invoice", sum(CAST("Quantity" AS DECIMAL(10,0)) * CAST("Price" AS DECIMAL(21,8))) AS total
       FROM raw WHERE "Invoice" IS NOT NULL GROUP BY "Invoice") t""",
         "word_mean": """
 SELECT CAST(count(*) AS BIGINT) AS "count", CAST(COALESCE(sum(length(word)), 0) AS BIGINT) AS "length",

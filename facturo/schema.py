@@ -63,7 +63,8 @@ PAIRS_SCHEMA = StructType(
     ]
 )
 
-# Exact money arithmetic: quantity as decimal(12,0), price as decimal(14,4).
-# Their product is decimal(27,4) and Spark widens sums of it to decimal(37,4).
-QUANTITY_DECIMAL = DecimalType(12, 0)
-PRICE_DECIMAL = DecimalType(14, 4)
+# Exact money arithmetic: quantity (an int) as decimal(10,0), price as
+# decimal(21,8): below 10^13, in steps of 10^-8. Their product is
+# decimal(32,8) and Spark widens sums of it to decimal(38,8).
+QUANTITY_DECIMAL = DecimalType(10, 0)
+PRICE_DECIMAL = DecimalType(21, 8)

@@ -64,7 +64,7 @@ def test_monthly_revenue_previous_zero_is_null(spark):
 
     df = spark.createDataFrame(
         [(2010, 1, "0.0000"), (2010, 2, "5.0000")], "Year int, Month int, TotalPrice string"
-    ).withColumn("TotalPrice", F.col("TotalPrice").cast("decimal(27,4)"))
+    ).withColumn("TotalPrice", F.col("TotalPrice").cast("decimal(32,8)"))
     got = metrics.monthly_revenue(df).collect()
     assert got[1]["VariacionPct"] is None
 
