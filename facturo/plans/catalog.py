@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facturo.operators import metrics, prepare, profile, segments, text
+from facturo.plans.observed import observe_stages
 from facturo.plans.workload import build_stages, materialize_stages
 from facturo.schema import RAW_COLUMNS
 from facturo.session import scratch_path
@@ -189,6 +190,8 @@ def raw_queries() -> dict[str, RawQuery]:
         "csv_bound_rows": _csv_bound_rows,
         "csv_reject_counts": _csv_reject_counts,
         "money_extremes": _money_extremes,
+        "observed_stage_counts": lambda spark, raw: observe_stages(spark, raw).stage_counts(),
+        "observed_nulls": lambda spark, raw: observe_stages(spark, raw).profile_nulls(),
         "scan_pairs": _scan_pairs,
         "result_roundtrip": _result_roundtrip,
         "result_overwrite": _result_overwrite,
@@ -517,4 +520,6 @@ FROM (SELECT CAST({_q(c)} AS VARCHAR) AS v FROM raw) x"""
         for c in text_cols
     )
     sql["word_length_hist_files"] = sql["word_length_hist"]
+    sql["observed_stage_counts"] = sql["stage_counts"]
+    sql["observed_nulls"] = sql["profile_nulls"]
     return {name: _with(body, raw_ctes) for name, body in sql.items()}

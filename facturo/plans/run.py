@@ -3,11 +3,15 @@
     python -m facturo.plans.run --input s3a://bucket/raw/lines.csv --output s3a://bucket/lake
 
 The input defaults to the ``DATA_PATH`` environment variable. With
-``--output`` every result is written as parquet under ``<output>/output/<name>``
-(a directory of parts per result); without it, the stage counts and every
-bounded result are printed whole. The CSV is parsed once, and the raw and
-derived stages are written under the shared checkpoint folder, unless
-``--no-materialize`` is given.
+``--output`` the two text extracts are written to ``<output>/input``, the text
+and order jobs read them from there, and every result is published under
+``<output>/output/<name>`` (a directory of parts per result) when all are
+complete; without it, the stage counts and every bounded result are printed
+whole. Columns are bound by the names in the files' headers; lines that do not
+fit are written as ``input_rejects``. The CSV is parsed once, and the raw and
+derived stages are written under the shared checkpoint folder, where counts
+and one-row profiles are observed on the way, unless ``--no-materialize`` is
+given. Scratch tables are deleted at the end.
 """
 
 from __future__ import annotations
@@ -19,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facturo.operators import metrics, prepare, profile, segments, text
-from facturo.plans.workload import build_stages, materialize_stages, twelve_queries
-from facturo.session import build_session, materialize, sizing_conf
-from facturo.sources.files import scan_csv_typed, write_pairs
-from facturo.sources.zones import Zones, write_results
+from facturo.plans.observed import observe_stages
+from facturo.plans.workload import build_stages, twelve_queries
+from facturo.session import build_session, scratch_scope, sizing_conf
+from facturo.sources.bound import scan_csv_bound
+from facturo.sources.files import write_pairs
+from facturo.sources.zones import Zones, text_jobs_from_inputs, write_results, write_text_inputs
 
 # Results that have one row per input line; they are written, never printed.
-ROW_LEVEL = {"q01_clean", "q02_dedup", "q04_valid"}
+ROW_LEVEL = {"q01_clean", "q02_dedup", "q04_valid", "input_rejects"}
 
 
 def all_results(stages) -> dict[str, DataFrame]:
@@ -37,6 +43,7 @@ def all_results(stages) -> dict[str, DataFrame]:
     results.update(
         {
             "stage_counts": prepare.stage_counts(raw),
+            "money_rejects": prepare.money_rejects(stages.derived),
             "customer_tiers": segments.customer_tiers(stages.valid),
             "combine_by_key": metrics.country_revenue_and_cancellations(stages.valid, stages.derived),
             "profile_schema": profile.profile_schema(raw),
@@ -85,20 +92,29 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     spark = build_session(master=args.master, app_name="facturo-run")
     for key, value in sizing_conf(_input_bytes(spark, args.input)).items():
         spark.conf.set(key, value)
-    raw = scan_csv_typed(spark, args.input)
-    if args.no_materialize:
-        stages = build_stages(raw)
-    else:
-        stages = materialize_stages(spark, build_stages(materialize(raw, spark, "raw")))
-    results = all_results(stages)
+    with scratch_scope(spark):
+        return _run(spark, args.input, args.output, args.no_materialize)
+
 
-    if args.output:
-        zones = Zones(args.output)
+def _run(spark: SparkSession, source: str, output: str | None, lazy: bool) -> dict[str, str]:
+    scan = scan_csv_bound(spark, source)
+    if lazy:
+        results = all_results(build_stages(scan.rows))
+    else:
+        observed = observe_stages(spark, scan.rows)
+        results = all_results(observed.stages) | observed.results()
+        raw = observed.stages.raw
+    results["input_rejects"] = scan.rejects
+
+    if output:
+        zones = Zones(output)
+        write_text_inputs(scan.rows if lazy else raw, zones)
+        results |= text_jobs_from_inputs(spark, zones)
+        # the order job's result has one form, "id<TAB>qty" lines in order, and is sorted once
+        ordered = results.pop("customer_quantity_sorted")
         paths = write_results(results, zones)
-        # The secondary-sort job's classic text form: "id<TAB>qty" lines in order.
-        sorted_txt = zones.output_path("customer_quantity_sorted_txt")
-        write_pairs(results["customer_quantity_sorted"], sorted_txt, sep="\t")
-        paths["customer_quantity_sorted_txt"] = sorted_txt
+        paths["customer_quantity_sorted_txt"] = zones.output_path("customer_quantity_sorted_txt")
+        write_pairs(ordered, paths["customer_quantity_sorted_txt"], sep="\t")
         return paths
     for name, df in results.items():
         if name in ROW_LEVEL or name == "customer_tiers" or name == "customer_quantity_sorted":

@@ -148,9 +148,11 @@ class ScratchScope:
 def scratch_scope(spark: SparkSession) -> Iterator[ScratchScope]:
     """Tables written inside are deleted at the end, but for those given to ``keep``; what reads them must be written by then."""
     scope = ScratchScope(spark)
-    with collected_scratch(scope):
-        yield scope
-    scope.clear()
+    try:
+        with collected_scratch(scope):
+            yield scope
+    finally:
+        scope.clear()
 
 
 @contextmanager

@@ -1,8 +1,8 @@
 """Data-lake zones: ``raw/`` (source files), ``input/`` (extracts), ``output/`` (results).
 
 A path convention only: every result is a directory of part files under
-``output/<name>``; writing again replaces it (overwrite), which is how a
-re-run clears the results of the previous one.
+``output/<name>``; writing again replaces it when the new one is complete.
+A set of results is published together, after all of them are written.
 """
 
 from __future__ import annotations
@@ -40,12 +40,12 @@ class Zones:
 
 
 def write_results(results: dict[str, DataFrame], zones: Zones) -> dict[str, str]:
-    """Write each result as parquet under ``output/<name>``; return the paths."""
-    paths = {}
-    for name, df in results.items():
-        path = zones.output_path(name)
-        files.write_parquet(df, path)
-        paths[name] = path
+    """Write each result as parquet under ``output/<name>``, publish all at the end; return the paths."""
+    paths = {name: zones.output_path(name) for name in results}
+    if results:
+        with files.staging(next(iter(results.values())).sparkSession) as stage:
+            for name, df in results.items():
+                df.write.parquet(stage(paths[name]))
     return paths
 
 
