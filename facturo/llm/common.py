@@ -7,6 +7,8 @@ own, and unpacks them at the end.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -98,11 +100,23 @@ def open_input(uri: str):
     return files.open_input_file(path)
 
 
+def trim_memory() -> None:
+    """Inside a task: give freed memory back to the system, where that is possible.
+
+    Python workers live on from task to task and share a limit with their
+    executor, but allocators keep what a task has freed.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4 << 20, max_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``max_chars`` bytes, and at most ``max_rows`` rows, in each; one row may hold more bytes."""
     import numpy as np
     import pyarrow.compute as pc
 
+    trim_memory()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -112,6 +126,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4 <<
         for a, b in zip(cuts, cuts[1:], strict=False):
             for start in range(a, b, max_rows):
                 yield batch.slice(start, min(max_rows, b - start))
+    trim_memory()
 
 
 def table_path(sf_dir: str, name: str) -> str:
