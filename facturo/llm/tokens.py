@@ -26,7 +26,7 @@ _SIGNS = re.compile(r"[^\sa-zß-öø-ÿ0-9]{2}")
 _BLANKS = re.compile("[ \t\n\r\x0b\x0c]+")
 
 #: Words whose ids one worker keeps, about 200 bytes each.
-MAX_WORDS = 700_000
+MAX_WORDS = 300_000
 
 
 def _byte_chars() -> dict[int, str]:
