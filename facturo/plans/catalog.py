@@ -61,7 +61,7 @@ def _text_lines_with_dirt(raw: DataFrame) -> DataFrame:
 def _csv_in_two_orders(spark: SparkSession, raw: DataFrame):
     """The lines in two folders: one in the usual column order, one reversed and with a further column."""
     path, lines = scratch_path(spark, "raw-csv"), _text_lines_with_dirt(raw)
-    first = F.col("Country") < "J"
+    first = F.coalesce(F.col("Country") < "J", F.lit(False))
     files.write_csv(lines.where(first), f"{path}/usual")
     files.write_csv(lines.where(~first).select(F.lit("x, y").alias("Note"), *reversed(RAW_COLUMNS)), f"{path}/reversed")
     return scan_csv_bound(spark, [f"{path}/usual", f"{path}/reversed"])
