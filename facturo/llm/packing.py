@@ -211,7 +211,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_i
 
 
 def place_pieces(pieces: DataFrame, spark: SparkSession, capacity: int = 4096) -> DataFrame:
-    """Add sequence_id and offset to ``pieces`` (a written table: it is read twice).
+    """Add sequence_id and offset to ``pieces``, a written table with a row number ``number`` in it (it is read twice).
 
     At most ``capacity`` rows (lengths with counts) reach the driver.
     """
@@ -219,15 +219,15 @@ def place_pieces(pieces: DataFrame, spark: SparkSession, capacity: int = 4096) -
     bucket_rows = max(200, math.isqrt(sum(counts.values())))
     buckets = spark.createDataFrame([(s, -(-n // bucket_rows)) for s, n in counts.items()], "length long, buckets long")
     runs = spark.createDataFrame(plan_places(counts, capacity), "length long, low long, high long, copies long, sequence long, at long")
-    keyed = pieces.join(F.broadcast(buckets), "length").withColumn("bucket", F.expr("pmod(xxhash64(doc_id, piece, ids_crc32), buckets)"))
+    keyed = pieces.join(F.broadcast(buckets), "length").withColumn("bucket", F.expr("pmod(xxhash64(number), buckets)"))
     sizes = keyed.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     up_to = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
     before = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "bucket").orderBy("number")
     ranked = keyed.withColumn("rank", F.row_number().over(inside) - 1).join(before, ["length", "bucket"]).withColumn("rank", F.col("rank") + F.col("before"))
     placed = ranked.join(F.broadcast(runs), (ranked["length"] == runs["length"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).drop(runs["length"])
     return placed.select(
-        *pieces.columns,
+        *[c for c in pieces.columns if c != "number"],
         F.expr("sequence + (rank - low) div copies").alias("sequence_id"),
         F.expr("at + (rank - low) % copies * length").alias("offset"),
     )
@@ -236,7 +236,8 @@ def place_pieces(pieces: DataFrame, spark: SparkSession, capacity: int = 4096) -
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their places; one row per piece."""
     spark = docs.sparkSession
-    return place_pieces(materialize(cut_pieces(docs, tokenizer_path, capacity, end_id, with_ids), spark, "pieces"), spark, capacity)
+    pieces = cut_pieces(docs, tokenizer_path, capacity, end_id, with_ids).withColumn("number", F.monotonically_increasing_id())
+    return place_pieces(materialize(pieces, spark, "pieces"), spark, capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -6,11 +6,13 @@ and the doc_ids as Elias-Fano sequences. An Elias-Fano sequence of n values
 below u takes about n * (2 + log2(u / n)) bits; ``select`` finds a value from
 one 32-bit sample per 256 values and a scan of a few words, so no table of
 64-bit offsets exists on disk or in memory. Where each file starts in the
-corpus is one sum over the manifest, which has a row per file.
+corpus is one sum over the manifest, which has a row per file. Files are read
+back through ``select`` alone: no boundary table is unpacked.
 
 Cases: null or empty text gives a document of the end id alone; null doc_ids
-come first; rows with equal doc_id come in text order; repeated rows are all
-kept; an empty table gives no file and an empty result.
+come first; rows with equal or no doc_id keep the order of the input and may
+stand in several files; repeated rows are all kept; an empty table gives no
+file and an empty result.
 """
 
 from __future__ import annotations
@@ -128,9 +130,11 @@ class TokenFile:
         self.bounds, _ = EliasFano.from_buffer(view[at + order : at + order + ends])
         self.ids = np.frombuffer(view[at + order + ends :], f"<u{width}")
 
-    def doc_ids(self) -> list[int | None]:
-        known = self.order.decode().view(np.int64) + np.int64(self.base)
-        return [None] * self.nulls + known.tolist()
+    def __len__(self) -> int:
+        return self.bounds.n
+
+    def doc_id(self, i: int) -> int | None:
+        return None if i < self.nulls else self.base + self.order.select(i - self.nulls)
 
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.bounds.select(i - 1) if i else 0 : self.bounds.select(i)]
@@ -139,8 +143,8 @@ class TokenFile:
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, file_tokens: int = 16_000_000) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into token files under ``folder`` (shared); returns the written manifest.
 
-    One range exchange on doc_id orders the corpus; each task then writes its
-    range as files of about ``file_tokens`` ids (one document is never cut).
+    One range exchange on doc_id and row number orders the corpus, so even
+    rows of one doc_id are dealt over tasks; each task then writes its range as files of about ``file_tokens`` ids (one document is never cut).
     A file's name holds the task attempt, and the manifest names the files of
     the attempts that counted, so a repeated task leaves only unused files.
     Manifest: part, roll, path, n_docs, n_tokens; (part, roll) is corpus order.
@@ -177,8 +181,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         if doc_ids:
             yield flush()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(write, "part int, roll int, path string, n_docs long, n_tokens long")
+    numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("at"))
+    ordered = numbered.repartitionByRange("doc_id", "at").sortWithinPartitions("doc_id", "at")
+    files = ordered.select("doc_id", "text").mapInArrow(write, "part int, roll int, path string, n_docs long, n_tokens long")
     return materialize(files, docs.sparkSession, "token-manifest")
 
 
@@ -194,13 +199,15 @@ def read_token_files(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 with open_input(path) as f:
                     file = TokenFile(f.read())
-                ends = file.bounds.decode().astype(np.int64)
-                starts = np.concatenate([np.zeros(1, np.int64), ends])[:-1]
-                docs = file.doc_ids()
-                for i in range(0, len(docs), 4096):
-                    ids = [file.ids[a:b].astype("<u4").tobytes() for a, b in zip(starts[i : i + 4096], ends[i : i + 4096], strict=True)]
-                    columns = [pa.array(docs[i : i + 4096], pa.int64()), pa.array(starts[i : i + 4096] + base), pa.array(ends[i : i + 4096] - starts[i : i + 4096]), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, schema=pa.schema(fields))
+                start = 0
+                for first in range(0, len(file), 4096):
+                    docs = range(first, min(first + 4096, len(file)))
+                    ends = [file.bounds.select(i) for i in docs]
+                    starts = [start, *ends[:-1]]
+                    start = ends[-1]
+                    ids = [file.ids[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends, strict=True)]
+                    columns = [[file.doc_id(i) for i in docs], [base + a for a in starts], [len(x) // 4 for x in ids], [zlib.crc32(x) for x in ids]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns] + [pa.array(ids, pa.binary())] * with_ids, schema=pa.schema(fields))
 
     # a task per file: the manifest is small, so its size must not set the number of tasks
     return based.repartition(max(1, manifest.count()), "path").mapInArrow(read, schema)

@@ -71,7 +71,7 @@ def test_token_files(session, rows):
     found = token_store.token_index(session, docs, path).collect()
     tokenizer = tokens.word_ids(path).tokenizer
     want, at = [], 0
-    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):  # equal and null doc_ids keep the order of the input
         ids = np.array([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4")
         want.append((r[0], at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
@@ -181,26 +181,47 @@ def test_reduction_keeps_the_optimum():
         assert best(items, capacity) == sum(n for n, _ in closed) + best(left, capacity)
 
 
+def best_fit(lengths, capacity):
+    """Number of bins by plain best fit decreasing, piece by piece."""
+    bins: list[int] = []
+    for n in sorted(lengths, reverse=True):
+        j = min((j for j, room in enumerate(bins) if room >= n), key=lambda j: bins[j], default=None)
+        if j is None:
+            bins.append(capacity - n)
+        else:
+            bins[j] -= n
+    return len(bins)
+
+
 def test_packing(session, rows):
     found = packing.pack(session.createDataFrame(rows, DOCS), tokens.default_tokenizer(), capacity=256, with_ids=True)
     held = defaultdict(list)
     for r in found.collect():
         assert r["length"] == len(r["ids"]) // 4 <= 256 and zlib.crc32(r["ids"]) == r["ids_crc32"]
         held[r["sequence_id"]].append((r["offset"], r["length"]))
-    bins: list[int] = []  # plain best fit decreasing, piece by piece
-    for n in sorted((n for s in held.values() for _, n in s), reverse=True):
-        j = min((j for j, room in enumerate(bins) if room >= n), key=lambda j: bins[j], default=None)
-        if j is None:
-            bins.append(256 - n)
-        else:
-            bins[j] -= n
     for s in held.values():
         at = 0
         for offset, n in sorted(s):
             assert offset == at
             at += n
         assert at <= 256
-    assert len(held) <= len(bins)
+    assert len(held) <= best_fit([n for s in held.values() for _, n in s], 256)
+
+
+def test_packing_of_equal_rows_and_empty_table(session):
+    """A third of all rows are one row: they are dealt over buckets and packed like others."""
+    rows = [(7, "same words here")] * 500 + [(None, None)] * 100 + [(i, f"other {i} " * (1 + i % 9)) for i in range(900)]
+    docs = session.createDataFrame(rows, "doc_id long, text string")
+    found = packing.pack(docs, tokens.default_tokenizer(), capacity=64).collect()
+    assert Counter(r["doc_id"] for r in found if r["piece"] == 0) == Counter(r[0] for r in rows)
+    held = defaultdict(list)
+    for r in found:
+        held[r["sequence_id"]].append((r["offset"], r["length"]))
+    for s in held.values():
+        s.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(s, s[1:], strict=False)) and s[0][0] == 0 and sum(s[-1]) <= 64
+    assert len(held) <= best_fit([r["length"] for r in found], 64)
+    assert packing.pack(docs.limit(0), tokens.default_tokenizer()).count() == 0
 
 
 def test_warc(session):
