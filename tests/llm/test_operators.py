@@ -244,6 +244,49 @@ def test_url_aliases(session):
     assert found == {1: (None, "block"), 2: (None, "block"), 3: (None, "block"), 4: ("com/de/", "block"), 5: (None, "allow"), 6: (None, "allow"), 7: (None, "allow")}
 
 
+def test_links_are_resolved_like_urljoin(session):
+    from urllib.parse import urldefrag, urljoin, urlsplit, urlunsplit
+
+    from pyspark.sql import functions as F
+
+    bases = ["http://a.net/x/y/z?q=1#f", "https://B.org", "http://c.com/", "http://d.com/p/"]
+    targets = ["../x", "./x", "?q=2", "/r/./s/../t", "//h.org/u/../v", "http://e.org/a/../b?c=../d", "x/..", "..", "../../../w/", ".", "y.html#top", "../?k=/../", "#only"]
+    pairs = [(i, b, t) for i, (b, t) in enumerate((b, t) for b in bases for t in targets)]
+    found = session.createDataFrame(pairs, "i int, url string, target string").select("i", url_filter.absolute_url(F.col("target"), F.col("url")).alias("to")).collect()
+
+    def joined(base, target):
+        # urljoin leaves the dot segments of targets with a host
+        whole = urldefrag(urljoin(base, target))[0]
+        parts = urlsplit(whole)
+        return urljoin(whole, urlunsplit(("", "", parts.path or "/", parts.query, "")))
+
+    same = lambda u: urldefrag(u)[0] + ("/" if urldefrag(u)[0].count("/") == 2 else "")
+    assert [(b, t, same(r["to"])) for r, (_, b, t) in zip(sorted(found), pairs, strict=True)] == [(b, t, joined(b, t)) for _, b, t in pairs]
+    assert session.createDataFrame([("mailto:x@y.z", "http://a.net/")], "t string, u string").select(url_filter.absolute_url(F.col("t"), F.col("u"))).first()[0] is None
+
+
+def test_links_that_count(session):
+    """Comments and scripts hide links, base moves them, queries and dot segments are resolved."""
+    rows = [
+        (1, "http://a.net/f/p.html", "<base href='/de/'><link rel=canonical href='x'>"),
+        (2, "http://b.net/q/p.html", '<link title="a > b" rel="nofollow canonical" href="../de/x">'),
+        (3, "http://c.net/de?q=1", None),
+        (4, "http://c.net/p", "<meta content='5; URL=\"de?q=1\"' http-equiv=Refresh>"),
+        (5, "http://d.net/1", "<!-- <link rel=canonical href=/de/x> --><script>'<link rel=canonical href=/de/x>'</script>"),
+        (6, "http://e.net/1", "<link rel=alternate href=/de/x><link data-rel=canonical href=/de/x>"),
+        (7, "http://f.net/" + "z" * 200_000, "<link rel=canonical href=/de/x>"),
+        (7, "http://f.net/" + "z" * 200_000, "<link rel=canonical href=/de/x>"),
+        (None, "http://g.net/", "<link rel=canonical href=/de/x><!-- open"),
+    ]
+    rules = session.createDataFrame([("block", "net", "/de")], url_filter.RULES)
+    pages = session.createDataFrame([(*r, "h", "n") for r in rows], "page_id long, url string, html string, host string, node string")
+    found = Counter((r["page_id"], r["verdict"], r["by"]) for r in url_filter.judge_urls(pages, rules).collect())
+    block = [(1, "alias"), (2, "alias"), (3, "rule"), (4, "alias"), (7, "alias"), (7, "alias"), (None, "alias")]
+    assert found == Counter([*((i, "block", by) for i, by in block), (5, "allow", "default"), (6, "allow", "default")])
+    assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
+    assert {r["verdict"] for r in url_filter.judge_urls(pages, rules.limit(0)).collect()} == {"allow"}
+
+
 def test_personal_data(session):
     plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
