@@ -26,6 +26,9 @@ __all__ = ["ScratchScope", "collected_scratch", "discard", "materialize", "open_
 BROADCAST_ROWS = 200_000
 #: Parts that a hot key of a shuffled join is dealt into.
 JOIN_SALTS = 32
+#: Bytes of an Arrow batch that goes to a Python worker. Batches are otherwise cut by
+#: rows alone, and 10,000 long texts fill the executor's and the worker's memory at once.
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -35,6 +38,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     serves sessions whose workers start elsewhere than the driver.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(":"):
