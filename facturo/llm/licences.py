@@ -1,7 +1,7 @@
 """Licence scan by Dice coefficient over word bigrams (dealt operator 2; DataFrame operations only).
 
-Each line, each paragraph of several lines and the whole of a text is
-compared with every licence template whose size allows a match: with a and b
+Each line, each sentence of a line of several, each paragraph of several lines
+and the whole of a text is compared with every licence template whose size allows a match: with a and b
 distinct bigrams, Dice can reach t only if a * t / (2 - t) <= b <= a * (2 - t) / t.
 Texts are compared after the same normalisation: lower case, ``licence`` and
 the copyright sign spelled one way, and anything but letters and digits a
@@ -11,7 +11,8 @@ as a literal; nothing is shuffled.
 
 One row per matching unit, with its best template (ties: the smaller id).
 Cases: null and empty texts, and units of fewer than two words, match nothing;
-repeated rows give repeated results; an empty table gives an empty result.
+repeated rows give repeated results; an empty table gives an empty result; a very
+long text is read whole, its units in one row; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -65,6 +66,22 @@ TEMPLATES: list[tuple[str, str]] = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior written permission. THIS "
+        'SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+        "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -73,6 +90,7 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
 ]
 _WORD = r"[^\p{L}\p{N}]+"
+_SENTENCE_END = r"[.!?]+[ \t]+"
 
 
 def template_bigrams(text: str) -> list[str]:
@@ -110,16 +128,21 @@ def gate_words(grams: tuple[str, ...], dice: float = DICE) -> set[str]:
     return chosen
 
 
-def _may_match(text: Column, known: list[tuple[str, tuple[str, ...]]], dice: float) -> Column:
-    """Whether a text has a gate word of any template, in either spelling, as a part of some word."""
-    lowered = F.lower(text)
+def _gate_spellings(known: list[tuple[str, tuple[str, ...]]], dice: float) -> list[str]:
+    """The gate words of all templates, in either spelling; a text that matches has one as a part of some word."""
     words = set().union(*(gate_words(grams, dice) for _, grams in known))
     # a word that has another as a part needs no test of its own
     words = {w for w in words if not any(x != w and x in w for x in words)}
     spellings = {v for w in words for v in ((w, "©", "(c)") if "copyright" in w else (w, w.replace("license", "licence")))}
+    return sorted(spellings, key=lambda w: (len(w), w))
+
+
+def _has_any(text: Column, parts: list[str]) -> Column:
+    """Whether a text has one of ``parts`` after lower-casing."""
+    lowered = F.lower(text)
     out = F.lit(False)
-    for w in sorted(spellings, key=lambda w: (len(w), w)):
-        out = out | F.contains(lowered, F.lit(w))
+    for part in parts:
+        out = out | F.contains(lowered, F.lit(part))
     return out
 
 
@@ -134,25 +157,30 @@ def bigrams(text: Column) -> Column:
 def scan_licences(docs: DataFrame, dice: float = DICE, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """doc_id, scope, unit, license_id and dice (six places) per matching unit of ``docs`` (doc_id, text).
 
-    scope is line, paragraph (of several lines, in a text of several
-    paragraphs) or text (of several lines); unit counts them from 0.
+    scope is line, sentence (of a line of several; they end with ``.!?`` and a
+    blank), paragraph (of several lines, in a text of several paragraphs) or
+    text (of several lines); unit counts them from 0.
     """
     known = sorted({(name, tuple(template_bigrams(text))) for name, text in templates})
     known = [(name, grams) for name, grams in known if grams]
     bounds = [size_bounds(len(grams), dice) for _, grams in known]
     table = F.array(*[F.struct(F.lit(-i).alias("i"), F.lit(len(g)).alias("n"), F.array(*[F.lit(x) for x in g]).alias("grams")) for i, (_, g) in enumerate(known)])
 
+    gates = _gate_spellings(known, dice)
     lines = F.split("text", r"\r?\n", -1)
+    sentences = F.flatten(F.filter(F.transform(F.split(F.lower("text"), r"\r?\n", -1), lambda x: F.split(x, _SENTENCE_END, -1)), lambda x: F.size(x) > 1))
+    has_gate = lambda u: F.exists(F.lit(gates), lambda g: F.contains(u["held"], g))
     blocks = F.split("text", r"\r?\n[ \t]*\r?\n", -1)
     unit = lambda scope: lambda x, i: F.struct(F.lit(scope).alias("scope"), i.alias("unit"), x.alias("held"))
     units = F.concat(
         F.transform(lines, unit("line")),
+        F.filter(F.transform(sentences, unit("sentence")), has_gate),
         F.when(F.size(blocks) > 1, F.filter(F.transform(blocks, unit("paragraph")), lambda u: u["held"].contains("\n"))).otherwise(F.array()),
         F.when(F.col("text").contains("\n"), F.transform(F.array("text"), unit("text"))).otherwise(F.array()),
     )
     read = F.transform(units, lambda u: F.struct(u["scope"].alias("scope"), u["unit"].alias("unit"), bigrams(u["held"]).alias("grams")))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    base = base.where(_may_match(F.col("text"), known, dice))
+    base = base.where(_has_any(F.col("text"), gates))
     # the generator keeps each unit's bigrams as a value, so they are made once
     sized = base.select("doc_id", F.explode(read).alias("u")).where(F.size("u.grams").between(min(b[0] for b in bounds), max(b[1] for b in bounds)))
     n = F.size("u.grams")
@@ -173,6 +201,8 @@ with t(i, license_id, grams) as (values {values}),
 d as (select doc_id, text, string_split_regex(text, '\r?\n') lines, string_split_regex(text, '\r?\n[ \t]*\r?\n') blocks from documents where text is not null),
 u as (
   select doc_id, 'line' scope, unnest(range(len(lines)))::int unit, unnest(lines) held from d
+  union all select doc_id, 'sentence', unnest(range(len(sentences)))::int, unnest(sentences) from (
+    select doc_id, flatten(list_filter(list_transform(lines, lambda x: string_split_regex(x, '{_SENTENCE_END}')), lambda x: len(x) > 1)) sentences from d)
   union all select * from (select doc_id, 'paragraph', unnest(range(len(blocks)))::int, unnest(blocks) held from d where len(blocks) > 1) where contains(held, chr(10))
   union all select doc_id, 'text', 0, text from d where contains(text, chr(10))
 ),

@@ -77,3 +77,35 @@ def test_one_sided_contexts_and_late_instances(session):
     assert "QX77-81923-ZZ" in ids
     assert "QX88-81923-ZZ" not in ids
     assert {x for x in ids if x.startswith("K")} == {f"K{k}-{i:05}-QQ" for k, n in enumerate(sizes) if k for i in range(n)}
+
+
+def test_licence_in_a_sentence_and_hostile_rows(session):
+    from facturo.llm import licences
+
+    bsd = next(t for n, t in licences.TEMPLATES if n == "BSD-3-Clause" and "DAMAGE" in t)
+    wrapped = bsd.replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n2. ").replace(" THIS SOFTWARE IS", "\n\nTHIS SOFTWARE IS")
+    rows = [
+        (1, "Made with care. Released under the MIT Licence. Thanks to all!"),
+        (2, "Made with care, not released. Thanks to all!  MIT is a school. "),
+        (3, wrapped),
+        (4, "one word. " * 100_000 + "Licensed under CC BY 4.0! Bye"),
+        (5, None),
+        (6, ""),
+        (1, "Made with care. Released under the MIT Licence. Thanks to all!"),
+        (None, "Hello. This work is licensed under the GNU General Public License, version 2. Good-bye."),
+    ]
+    docs = session.createDataFrame([(*r, "clash", 0) for r in rows], "doc_id long, text string, scope string, unit int")
+    found = sorted(map(tuple, licences.scan_licences(docs).collect()), key=str)
+    assert found == sorted(
+        [
+            (1, "sentence", 1, "MIT", 1.0),
+            (1, "sentence", 1, "MIT", 1.0),
+            (3, "text", 0, "BSD-3-Clause", 1.0),
+            (3, "line", 0, "BSD-3-Clause", 1.0),
+            (4, "sentence", 100_000, "CC-BY-4.0", 1.0),
+            (None, "line", 0, "GPL-2.0", 0.88),  # the line has 14 bigrams, the notice 11 of them
+            (None, "sentence", 1, "GPL-2.0", 1.0),
+        ],
+        key=str,
+    )
+    assert licences.scan_licences(docs.limit(0)).collect() == []
