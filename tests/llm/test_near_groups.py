@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 
+import corpus_pipeline
 from facturo.llm import common, near_dedup
 
 
@@ -22,6 +23,29 @@ def _changed(r, words, n):
     return out
 
 
+def _counted(monkeypatch):
+    """Rows of the tables that near_dedup writes, by their names."""
+    written = defaultdict(list)
+
+    def counted(df, spark, name):
+        out = common.materialize(df, spark, name)
+        written[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialize", counted)
+    return written
+
+
+def _shares(texts):
+    """How often a text shares a band with its least text, and how many pairs of texts do."""
+    nodes = {t: i for i, t in reversed([*enumerate(texts)]) if t}
+    buckets = defaultdict(list)
+    for i, bands in zip(nodes.values(), near_dedup.sketch(list(nodes))[1], strict=True):
+        for band in bands:
+            buckets[int(band)].append(i)
+    return sum(len(b) - 1 for b in buckets.values()), len({(min(b), i) for b in buckets.values() for i in b if i != min(b)})
+
+
 def test_group_of_near_copies(session, monkeypatch):
     r = random.Random(3)
     base = [f"w{r.randrange(10**9)}" for _ in range(200)]
@@ -38,24 +62,23 @@ def test_group_of_near_copies(session, monkeypatch):
                 label = [least if x == most else x for x in label]
     assert 2 < len(set(label)) < len(texts) - 2
 
-    written = defaultdict(list)
-
-    def counted(df, spark, name):
-        out = common.materialize(df, spark, name)
-        written[name].append(out.count())
-        return out
-
-    monkeypatch.setattr(near_dedup, "materialize", counted)
+    written = _counted(monkeypatch)
     found = near_dedup.mark_near_copies(session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {x["doc_id"]: (x["class_id"], x["class_size"], x["kept"]) for x in found} == {i: (x, label.count(x), x == i) for i, x in enumerate(label)}
 
-    # each band's least text with the others that share it: bands of the same least text hold the same texts again
-    nodes = {t: i for i, t in reversed([*enumerate(texts)]) if t}
-    buckets = defaultdict(list)
-    for i, bands in zip(nodes.values(), near_dedup.sketch(list(nodes))[1], strict=True):
-        for band in bands:
-            buckets[int(band)].append(i)
-    shares = sum(len(b) - 1 for b in buckets.values())
-    pairs = len({(min(b), i) for b in buckets.values() for i in b if i != min(b)})
+    shares, pairs = _shares(texts)
+    assert shares > 1.5 * pairs
+    assert written["labelled-members"] and max(written["labelled-members"]) <= pairs
+
+
+def test_pipeline_stage_on_a_group_of_near_copies(session, monkeypatch):
+    r = random.Random(4)
+    base = [f"w{r.randrange(10**9)}" for _ in range(200)]
+    texts = [" ".join(_changed(r, base, r.randrange(1, 3))) for _ in range(40)] + ["a text alone", None]
+    written = _counted(monkeypatch)
+    docs = session.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    # one or two changed words: every text is similar to one of the others, all through the first
+    assert sorted(map(tuple, corpus_pipeline.drop_near_copies(session, docs, "").collect()), key=lambda x: x[0]) == [(0, texts[0], "en"), (40, "a text alone", "en"), (41, None, "en")]
+    shares, pairs = _shares(texts)
     assert shares > 1.5 * pairs
     assert written["labelled-members"] and max(written["labelled-members"]) <= pairs
