@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from facturo.llm import common, near_dedup
 
 
@@ -15,23 +16,42 @@ def session(spark):
     return common.prepare(spark)
 
 
-def test_no_broadcast_grows_with_the_shared_bands(session, monkeypatch):
+PAIRS = 3000
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """PAIRS texts, and one near copy of each that shares some 26 of its 32 bands."""
     r = random.Random(5)
-    pairs = 3000
-    texts = [" ".join(f"w{r.randrange(10**9)}" for _ in range(60)) for _ in range(pairs)]
-    texts += [t.rsplit(" ", 1)[0] + f" x{i}" for i, t in enumerate(texts)]
-    sent, broadcast = [], F.broadcast
+    firsts = [" ".join(f"w{r.randrange(10**9)}" for _ in range(60)) for _ in range(PAIRS)]
+    out = firsts + [t.rsplit(" ", 1)[0] + f" x{i}" for i, t in enumerate(firsts)]
+    bands = near_dedup.sketch(out[:20] + out[PAIRS : PAIRS + 20])[1]
+    assert sum(len({*bands[i]} & {*bands[20 + i]}) for i in range(20)) * PAIRS / 20 > 60_000
+    return out
+
+
+@pytest.fixture
+def sent(monkeypatch):
+    """Rows of each table that is broadcast."""
+    rows, broadcast = [], F.broadcast
 
     def counted(df):
-        sent.append(df.count())
+        rows.append(df.count())
         return broadcast(df)
 
     monkeypatch.setattr(F, "broadcast", counted)
+    return rows
+
+
+def test_no_broadcast_grows_with_the_shared_bands(session, texts, sent):
     found = near_dedup.mark_near_copies(session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-    assert {x["doc_id"]: (x["class_id"], x["class_size"], x["kept"]) for x in found} == {i: (i % pairs, 2, i < pairs) for i in range(2 * pairs)}
-    # each pair shares some 26 of its 32 bands
-    bands = near_dedup.sketch(texts[:20] + texts[pairs : pairs + 20])[1]
-    assert sum(len({*bands[i]} & {*bands[20 + i]}) for i in range(20)) * pairs / 20 > 60_000
+    assert {x["doc_id"]: (x["class_id"], x["class_size"], x["kept"]) for x in found} == {i: (i % PAIRS, 2, i < PAIRS) for i in range(2 * PAIRS)}
+    assert sent and max(sent) <= 50_000
+
+
+def test_no_broadcast_of_the_pipeline_stage_grows(session, texts, sent):
+    docs = session.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert sorted(map(tuple, corpus_pipeline.drop_near_copies(session, docs, "").collect())) == [(i, t, "en") for i, t in enumerate(texts[:PAIRS])]
     assert sent and max(sent) <= 50_000
 
 
